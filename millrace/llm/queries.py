@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import fingerprints, langid, lines, packing, urls
+from millrace.llm import fingerprints, langid, lines, packing, substring_dedup, suffix_dedup, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,6 +30,10 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizer("word_bpe_49k.json"))
 
 
+def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeated_byte_digests(table(spark, sf_dir, "documents"))
+
+
 #: Fixed by the contract of op5.
 URL_RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
 
@@ -53,12 +57,18 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.line_digests(table(spark, sf_dir, "documents"))
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeated_word_digests(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_document_fingerprints": op1_document_fingerprints,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op4_suffix_array_dedup": op4_suffix_array_dedup,
     "op5_url_filters": op5_url_filters,
     "op7_language_id": op7_language_id,
     "op8_line_dedup": op8_line_dedup,
+    "op10_substring_dedup": op10_substring_dedup,
 }
 
 _SPACE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
