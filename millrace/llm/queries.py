@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import fingerprints, langid, lines, packing, substring_dedup, suffix_dedup, urls
+from millrace.llm import embeddings, fingerprints, langid, lines, packing, substring_dedup, suffix_dedup, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -42,6 +42,10 @@ def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"), URL_RULES)
 
 
+def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def held_out() -> F.Column:
     return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2
 
@@ -66,6 +70,7 @@ QUERIES: dict[str, Query] = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op4_suffix_array_dedup": op4_suffix_array_dedup,
     "op5_url_filters": op5_url_filters,
+    "op6_embedding_near_dedup": op6_embedding_near_dedup,
     "op7_language_id": op7_language_id,
     "op8_line_dedup": op8_line_dedup,
     "op10_substring_dedup": op10_substring_dedup,
