@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import embeddings, fingerprints, langid, lines, packing, substring_dedup, suffix_dedup, urls
+from millrace.llm import embeddings, fingerprints, langid, lines, ngram_join, packing, substring_dedup, suffix_dedup, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,6 +30,10 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizer("word_bpe_49k.json"))
 
 
+def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_copies(table(spark, sf_dir, "documents"))
+
+
 def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.repeated_byte_digests(table(spark, sf_dir, "documents"))
 
@@ -68,6 +72,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_document_fingerprints": op1_document_fingerprints,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_suffix_array_dedup": op4_suffix_array_dedup,
     "op5_url_filters": op5_url_filters,
     "op6_embedding_near_dedup": op6_embedding_near_dedup,
