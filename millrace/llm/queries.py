@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import embeddings, fingerprints, langid, lines, ngram_join, packing, substring_dedup, suffix_dedup, urls
+from millrace.llm import embeddings, fingerprints, langid, lines, ngram_join, packing, pieces, substring_dedup, suffix_dedup, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -65,6 +65,10 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.line_digests(table(spark, sf_dir, "documents"))
 
 
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.round_trips(table(spark, sf_dir, "documents"), public_tokenizer("piece_bpe_32k.model"))
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.repeated_word_digests(table(spark, sf_dir, "documents"))
 
@@ -78,6 +82,7 @@ QUERIES: dict[str, Query] = {
     "op6_embedding_near_dedup": op6_embedding_near_dedup,
     "op7_language_id": op7_language_id,
     "op8_line_dedup": op8_line_dedup,
+    "op9_sentencepiece": op9_sentencepiece,
     "op10_substring_dedup": op10_substring_dedup,
 }
 
