@@ -1,0 +1,59 @@
+import json
+import random
+
+import pytest
+from scan_pages import factory
+
+from millrace.functions.scalar import is_retryable, retry_delay
+from millrace.model import ClientError
+from millrace.sources.scan import KeyRangeSource, paged_scan, retried
+
+
+def test_paged_scan_crosses_regions_and_stops_at_end():
+    got = [k for k, _ in paged_scan(factory(None), b"k010", b"k090", page=7)]
+    assert got == [f"k{i:03d}".encode() for i in range(10, 90)]
+    assert len(list(paged_scan(factory(None), b"", b"", page=7))) == 100
+    assert len(list(paged_scan(factory(None), b"", b"", page=7, limit=20))) == 20
+
+
+def test_paged_scan_edges():
+    assert list(paged_scan(lambda s, n: (None, b""), b"a", b"z")) == []
+    empty_then_end = iter([([], b"m"), ([(b"n", b"1")], b"")])
+    assert list(paged_scan(lambda s, n: next(empty_then_end), b"a", b"z")) == [(b"n", b"1")]
+    with pytest.raises(ClientError):
+        list(paged_scan(lambda s, n: ([(b"a", b"")] * (n + 1), b""), b"a", b"z"))
+
+
+def test_retries_follow_the_schedule():
+    assert [retry_delay(n) for n in (0, 1, 3, 4, 5, 6)] == [0, 0, 2, 4, 8, 8]
+    assert all(0.5 <= retry_delay(2, random.Random(i)) < 1 for i in range(50))
+    calls, slept = [], []
+
+    def flaky(start, n):
+        calls.append(start)
+        if len(calls) < 3:
+            raise ConnectionError("unavailable")
+        return [], b""
+
+    assert retried(flaky, sleep=slept.append)(b"", 1) == ([], b"") and len(calls) == 3
+    assert slept[0] == 0 and 0.5 <= slept[1] < 1
+
+    def wrong(start, n):
+        calls.append(start)
+        raise ValueError("invalid argument")
+
+    calls.clear()
+    with pytest.raises(ValueError):
+        retried(wrong)(b"", 1)
+    assert len(calls) == 1
+    chained = RuntimeError("outer")
+    chained.__cause__ = MemoryError()
+    assert not is_retryable(chained) and is_retryable(RuntimeError("x"))
+
+
+def test_key_range_source(spark):
+    spark.dataSource.register(KeyRangeSource)
+    regions = json.dumps([{"region_id": 1, "start": b"k000".hex(), "end": b"k050".hex()}, {"region_id": 2, "start": b"k050".hex(), "end": ""}])
+    df = spark.read.format("keyrange").option("pages", "scan_pages:factory").option("regions", regions).option("page_size", 9).load()
+    assert df.rdd.getNumPartitions() == 2
+    assert sorted(bytes(r.key) for r in df.collect()) == [f"k{i:03d}".encode() for i in range(100)]
