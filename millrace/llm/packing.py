@@ -145,28 +145,65 @@ def _tokenizer(path: str):
 
 
 class WordIds(dict):
-    """Ids (little-endian bytes) by word, remembered in two generations of bounded size."""
+    """Ids (little-endian bytes) by word, remembered in two generations of bounded size.
 
-    def __init__(self, path: str, most: int = 250_000) -> None:
+    A word of ASCII letters, after which there may be full stops, commas and exclamation marks, is two
+    tokens' worth of text for a vocabulary that parts letters from signs: its letters are encoded in
+    lower case, many words at once, and cut where a token ends a word.
+    """
+
+    def __init__(self, path: str, most: int = 400_000) -> None:
         super().__init__()
         self.path, self.most, self.old = path, most, {}
+        vocabulary = _tokenizer(path).get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
 
     def learn(self, words: set[str]) -> None:
         if len(self) > self.most:
             self.old = dict(self)
             self.clear()
-        old, todo = self.old, []
+        old, simple, other = self.old, {}, []
         for w in words:
             if w not in self:
                 if w in old:
                     self[w] = old[w]
+                    continue
+                core = w.rstrip(".,!")
+                if core.isascii() and core.isalpha():
+                    simple.setdefault(core.lower(), []).append(w)
                 else:
-                    todo.append(w)
-        for i in range(0, len(todo), 4096):
-            part = todo[i : i + 4096]
+                    other.append(w)
+        self._encode(other)
+        known = {c: self.get(c) or old.get(c) for c in simple}
+        self._encode_cores([c for c, ids in known.items() if ids is None])
+        signs = {w[len(w.rstrip(".,!")) :] for ws in simple.values() for w in ws}
+        self._encode([s for s in signs if s not in self])
+        for core, ws in simple.items():
+            ids = known[core] or self[core]
+            for w in ws:
+                n = len(core)
+                self[w] = ids if len(w) == n else ids + self[w[n:]]
+
+    def _encode(self, words: list[str]) -> None:
+        for i in range(0, len(words), 4096):
+            part = words[i : i + 4096]
             for w, e in zip(part, _tokenizer(self.path).encode_batch_fast(part, add_special_tokens=False), strict=True):
                 self[w] = np.array(e.ids, "<u4").tobytes()
 
+    def _encode_cores(self, cores: list[str], at_once: int = 128) -> None:
+        for i in range(0, len(cores), 64 * at_once):
+            parts = [cores[j : j + at_once] for j in range(i, min(i + 64 * at_once, len(cores)), at_once)]
+            for part, e in zip(parts, _tokenizer(self.path).encode_batch_fast([" ".join(p) for p in parts], add_special_tokens=False), strict=True):
+                ids = np.array(e.ids, "<u4")
+                cuts = (np.flatnonzero(self.ends[ids]) + 1).tolist()
+                if len(cuts) != len(part) or cuts[-1] != len(ids):
+                    self._encode(part)
+                    continue
+                raw = ids.tobytes()
+                for w, a, b in zip(part, [0, *cuts], cuts, strict=False):
+                    self[w] = raw[4 * a : 4 * b]
+
 
 _words: dict[str, WordIds] = {}
 
