@@ -46,6 +46,13 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def small_batches(spark: SparkSession, most: int = 8 << 20) -> None:
+    """Hold Arrow batches to ``most`` bytes in this session, so that long texts can't fill a Python worker."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(spark.conf.get(name).rstrip("b")) > most:
+        spark.conf.set(name, most)
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that ``column`` holds about ``most`` bytes in each (one row at least)."""
     for batch in batches:

@@ -48,10 +48,10 @@ def repeated_word_digests(docs: DataFrame, window: int = 20, gram: int = 4) -> D
     place and then by a hash). Kept words are joined by one space. Null texts have no words.
     """
     kind = Kind(window, gram, word_symbols, word_codes, "u8")
-    rows, covers = repeats(docs, kind, lambda contexts, docs, first: later_windows(contexts, docs, first, window), keep_first=True, most=4 << 20)
+    rows, covers = repeats(docs, kind, lambda contexts, docs, first: later_windows(contexts, docs, first, window), keep_first=True, most=1 << 20)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", 8 << 20):
+        for batch in slices(batches, "text", 2 << 20):
             found = []
             for doc, raw, cover in zip(batch.column("doc_id").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist(), batch.column("cover").to_pylist(), strict=True):
                 words = (raw or b"").split()

@@ -26,11 +26,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import BYTE_CODES, SpanHash, mix, only, signed, slices, stored
+from millrace.llm.common import BYTE_CODES, SpanHash, mix, only, signed, slices, small_batches, stored
 
 #: Classes of a bucket beyond which it is split by whole windows.
 HOT = 64
-_SEGMENT = 1 << 21
+_SEGMENT = 1 << 18
 _POSITION = np.uint64((1 << 24) - 1)
 
 Solver = Callable[["Contexts", int], np.ndarray]
@@ -115,7 +115,7 @@ def _rows(docs: DataFrame) -> DataFrame:
 
 def _occurrence_rows(kind: Kind, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", _SEGMENT):
             symbols, bounds = kind.symbols(batch.column("text"))
             for text, first, last, a, c in occurrences(symbols, bounds, kind):
                 at = pa.array(text)
@@ -144,7 +144,7 @@ def _shipped(rows: DataFrame, lists: DataFrame, kind: Kind) -> DataFrame:
     joined = rows.join(lists, "r").select("doc_id", "text", "r", "list")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", _SEGMENT):
             symbols, bounds = kind.symbols(batch.column("text"))
             found: list[tuple] = []
             for doc, r, base, items in zip(batch.column("doc_id").to_pylist(), batch.column("r").to_pylist(), bounds[:-1].tolist(), batch.column("list").to_pylist(), strict=True):
@@ -210,7 +210,7 @@ def _by_whole_window(shipped: DataFrame, kind: Kind, keep_first: bool) -> DataFr
     """Windows of hot buckets one by one under 128-bit names, compared by an aggregation."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "context"):
+        for batch in slices(batches, "context", _SEGMENT):
             contexts = Contexts(batch.column("context").to_pylist(), np.zeros(batch.num_rows, np.int64), kind)
             codes = kind.codes(contexts.symbols)
             one = SpanHash(codes).spans(contexts.window, contexts.window + kind.win)
@@ -229,12 +229,13 @@ def _by_whole_window(shipped: DataFrame, kind: Kind, keep_first: bool) -> DataFr
     return found.select("r", "first", F.col("first").alias("last"))
 
 
-def repeats(docs: DataFrame, kind: Kind, solver, keep_first: bool, most: int = 1 << 20) -> tuple[DataFrame, DataFrame]:
+def repeats(docs: DataFrame, kind: Kind, solver, keep_first: bool, most: int = 1 << 18) -> tuple[DataFrame, DataFrame]:
     """Rows of (doc_id, text) with a row key ``r``, and (r, cover): the windows to remove, as runs.
 
     With ``keep_first`` the first of equal windows by (doc_id, place) is not to be removed. Texts shorter
     than a window have none. Rows that repeat wholly are places of their own.
     """
+    small_batches(docs.sparkSession)
     rows = _rows(docs)
     grams = rows.mapInArrow(_occurrence_rows(kind, ["a"]), "a long")
     again = stored(grams.groupBy("a").count().where("count > 1").select("a"), "anchors")
