@@ -6,10 +6,10 @@ each, so candidates meet in an inverted list of these prefixes. A candidate pair
 n-grams that what is left could still reach the overlap. Sets of candidates are then stored in a
 prefix tree under the set that they are compared with, which is matched against all of them at once.
 
-Groups of near copies are not expanded into pairs. First each document is compared with the leaders of
-its lists (their least and greatest ids); the components that this leaves are then the units
-of the second pass, in which only pairs across components are candidates. Links within a component
-cannot change the components, so the result is that of the full join.
+Groups of near copies are not expanded into pairs. First each document is compared with the leader of
+its lists, the least id of about its size, twice with other bounds of size. Lists whose members are in one
+component by then are done: links within a component cannot change it. In the rest all pairs across
+components are candidates, so the components are those of the full join.
 """
 
 from __future__ import annotations
@@ -19,15 +19,18 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import BYTE_CODES, LOWER_ASCII, SpanHash, mix, only, signed, slices, stored
+from millrace.llm.common import BYTE_CODES, LOWER_ASCII, SpanHash, mix, only, signed, slices, small_batches, stored
 from millrace.llm.components import components
 
 #: N-grams that go to the end of the global order: at most so many, the most frequent ones.
 MAX_FREQUENT = 100_000
 _FREQUENT = np.uint64(1 << 63)
+_SLICE = 1 << 19
+#: Times that documents are compared with leaders before all pairs across components are.
+TURNS = 2
 
 
 def shingle_sets(texts: pa.Array, size: int) -> list[np.ndarray]:
@@ -46,7 +49,8 @@ def shingle_sets(texts: pa.Array, size: int) -> list[np.ndarray]:
     sets = []
     for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
         if b - a >= size:
-            sets.append(np.unique(grams[a : b - size + 1]))
+            own = np.sort(grams[a : b - size + 1])
+            sets.append(own[np.concatenate([[True], own[1:] != own[:-1]])])
         else:
             sets.append((spans.spans(np.array([a]), np.array([b])) ^ np.uint64(b - a)) >> np.uint64(1) if b > a else np.zeros(0, np.uint64))
     return sets
@@ -56,12 +60,12 @@ def _signatures(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.R
     """A row a document (its set's size and digest), and rows (gram, documents) of n-grams that are frequent in a batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", 4 << 20):
-            sets = shingle_sets(batch.column("text"), size)
+        for batch in batches:
+            sets = [s for part in slices(iter([batch]), "text", _SLICE) for s in shingle_sets(part.column("text"), size)]
             n = [len(s) for s in sets]
             one = [int(np.bitwise_xor.reduce(mix(s))) if len(s) else 0 for s in sets]
             two = [int(mix(s + np.uint64(7)).sum()) if len(s) else 0 for s in sets]
-            grams, counts = np.unique(np.concatenate(sets), return_counts=True)
+            grams, counts = np.unique(np.concatenate([*sets, np.zeros(0, np.uint64)]), return_counts=True)
             often = counts >= 3
             k = int(often.sum())
             yield pa.RecordBatch.from_arrays(
@@ -157,6 +161,7 @@ class NgramJoin:
 
     def __init__(self, docs: DataFrame, size: int = 5, percent: int = 80) -> None:
         self.docs, self.size, self.percent = only(docs, "doc_id", "text").where("doc_id is not null"), size, percent
+        small_batches(docs.sparkSession)
         rows = stored(self.docs.mapInArrow(_signatures(size), "doc_id long, n long, x long, y long"), "signatures")
         self.signatures = rows.where("n is not null").select("doc_id", "n", F.col("x").alias("d1"), F.col("y").alias("d2"))
         counts = rows.where("n is null").groupBy("x").agg(F.sum("y").alias("count")).where("count >= 20")
@@ -170,84 +175,96 @@ class NgramJoin:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             rank = order.value
-            for batch in slices(batches, "text", 4 << 20):
+            for batch in slices(batches, "text", _SLICE):
                 sets = [rank.keys(s) for s in shingle_sets(batch.column("text"), size)]
                 parts = [s[: prefix_length(len(s), percent)] if len(s) else s for s in sets]
-                at = pa.array(np.repeat(np.arange(len(parts)), [len(p) for p in parts]))
-                yield pa.RecordBatch.from_arrays([pa.array(signed(np.concatenate(parts))), batch.column("doc_id").take(at)], ["gram", "rep"])
+                at = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
+                sizes = np.array([len(s) for s in sets], np.int32)[at]
+                yield pa.RecordBatch.from_arrays([pa.array(signed(np.concatenate(parts))), batch.column("doc_id").take(pa.array(at)), pa.array(sizes)], ["gram", "rep", "n"])
 
-        return self.docs.mapInArrow(run, "gram long, rep long")
+        return self.docs.mapInArrow(run, "gram long, rep long, n int")
 
     def _lists(self) -> DataFrame:
         """Inverted lists of the prefixes: (gram, rep, n), of n-grams in two documents or more."""
-        live = self._prefixes().groupBy("gram").count().where("count > 1").select("gram")
-        return stored(self._prefixes().join(live, "gram").join(self.classes.select("rep", "n"), "rep"), "prefix-lists")
-
-    def _sets(self, wanted: DataFrame) -> DataFrame:
-        """(rep, set) with the ordered keys of the wanted documents."""
-        size, order = self.size, self.order
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            rank = order.value
-            for batch in slices(batches, "text", 4 << 20):
-                sets = [rank.keys(s).tobytes() for s in shingle_sets(batch.column("text"), size)]
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sets, pa.binary())], ["rep", "set"])
-
-        wanted = self.docs.join(wanted.withColumnRenamed("rep", "doc_id"), "doc_id").dropDuplicates(["doc_id"])
-        return wanted.mapInArrow(run, "rep long, set binary")
+        short = F.col("gram").bitwiseAND(0x7FFFFFFF).cast("int")  # to count by; that some single n-grams stay does no harm
+        live = self._prefixes().groupBy(short.alias("short")).count().where("count > 1").select("short")
+        return stored(self._prefixes().join(live, short == F.col("short")).select("gram", "rep", "n"), "prefix-lists")
 
     def _verified(self, pairs: DataFrame, chunk: int = 256) -> DataFrame:
-        """Those pairs (u, v) that link. The sets beside each ``u`` go to prefix trees of about ``chunk``."""
-        percent = self.percent
+        """Those pairs (u, v) that link. The texts beside each ``u`` go to prefix trees of about ``chunk`` sets."""
+        percent, size, order = self.percent, self.size, self.order
         pairs = stored(pairs, "candidates")
-        sets = stored(self._sets(pairs.select(F.col("u").alias("rep")).unionByName(pairs.select(F.col("v").alias("rep"))).distinct()), "sets")
         cut = pairs.groupBy("u").agg(F.ceil(F.count("*") / chunk).cast("int").alias("cut"))
         part = F.pmod(F.xxhash64("v"), F.col("cut")).cast("int").alias("part")
-        leaves = pairs.join(cut, "u").select("u", part, F.col("v").alias("rep"), F.lit(1).alias("side")).join(sets, "rep")
-        roots = cut.select("u", F.explode(F.sequence(F.lit(0), F.col("cut") - 1)).alias("part"), F.lit(0).alias("side"))
-        roots = roots.join(sets.withColumnRenamed("rep", "u"), "u").withColumn("rep", F.col("u"))
+        leaves = pairs.join(cut, "u").select("u", part, F.lit(1).alias("side"), F.col("v").alias("doc_id"))
+        roots = cut.select("u", F.explode(F.sequence(F.lit(0), F.col("cut") - 1)).alias("part"), F.lit(0).alias("side"), F.col("u").alias("doc_id"))
+        # The texts are shuffled at any size, so that the plan of small inputs is that of large ones.
+        placed = self.docs.join(stored(roots.unionByName(leaves), "tree-places").hint("shuffle_merge"), "doc_id")
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            group, key = [], None
-            for batch in batches:
-                found: list[tuple[int, int]] = []
-                for row in zip(*[batch.column(c).to_pylist() for c in ("u", "part", "side", "rep", "set")], strict=True):
-                    if row[:2] != key:
-                        found += _links(group, percent)
-                        group, key = [], row[:2]
-                    group.append(row)
-                yield _pairs(found)
+            rank, group, key = order.value, [], None
+            for whole in batches:
+                for batch in slices(iter([whole]), "text", _SLICE):
+                    found: list[tuple[int, int]] = []
+                    sets = [rank.keys(s) for s in shingle_sets(batch.column("text"), size)]
+                    for u, p, doc, own in zip(*[batch.column(c).to_pylist() for c in ("u", "part", "doc_id")], sets, strict=True):
+                        if (u, p) != key:
+                            found += _links(group, percent)
+                            group, key = [], (u, p)
+                        group.append((doc, own))
+                    yield _pairs(found)
             yield _pairs(_links(group, percent))
 
-        both = roots.select("u", "part", "side", "rep", "set").unionByName(leaves.select("u", "part", "side", "rep", "set"))
-        trees = both.repartition("u", "part").sortWithinPartitions("u", "part", "side")
+        trees = placed.repartition("u", "part").sortWithinPartitions("u", "part", "side")
         return stored(trees.mapInArrow(run, "u long, v long"), "links")
 
+    def _led(self, lists: DataFrame, turn: int) -> DataFrame:
+        """(u, v): each document with one leader, among its lists' first members of its band of sizes, that it may link with.
+
+        The first is the least id in turn 0, later the least by a hash, so that each turn has other leaders.
+        """
+        step = 2 * math.log(100 / self.percent)
+        rank = F.col("rep") if turn == 0 else F.xxhash64("rep", F.lit(turn))
+        banded = lists.select("gram", "rep", "n", F.floor(F.log("n") / step + turn / 2).cast("int").alias("band"), rank.alias("rank"))
+        lead = banded.groupBy("gram", "band").agg(F.min(F.struct("rank", "rep", "n")).alias("lead"), F.count("*").alias("size")).where("size > 1")
+        lead = lead.select("gram", "band", F.col("lead.rep").alias("u"), F.col("lead.n").alias("m"))
+        beside = banded.join(lead, ["gram", "band"]).where("u <> rep")
+        shared = beside.groupBy("u", F.col("rep").alias("v"), "m", "n").count()
+        # A leader need not lead all lists that it shares, so half the least number will do here.
+        likely = shared.where(F.col("count") * 2 >= _least_shared(F.col("n"), F.col("m"), self.percent))
+        pairs = likely.groupBy("v").agg(F.max_by("u", F.struct("count", "u")).alias("u"))
+        return pairs.join(self.classes.select(F.col("rep").alias("v")), "v", "left_semi").select("u", "v")
+
+    def _rest(self, lists: DataFrame, groups: DataFrame, name: str) -> DataFrame:
+        """Lists with members of several components: (gram, rep, n, c), one document a different set."""
+        placed = lists.select("gram", "rep", "n").join(self.classes.select("rep"), "rep", "left_semi").join(groups.withColumnRenamed("node", "rep"), "rep", "left")
+        placed = stored(placed.select("gram", "rep", "n", F.coalesce("component", "rep").alias("c")), f"{name}-placed")
+        across = placed.groupBy("gram").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("gram")
+        return stored(placed.join(across, "gram"), name)
+
     def members(self) -> DataFrame:
         """(rep, component) of every different set."""
-        lists = self._lists()
-        # Sizes of sets that link differ by a fifth at most, so they share a band of one of the two kinds.
-        step = math.log(100 / self.percent)
-        bands = F.explode(F.array(*[F.struct(F.lit(i).alias("kind"), F.floor(F.log("n") / (2 * step) + F.lit(i / 2)).alias("band")) for i in (0, 1)])).alias("b")
-        banded = lists.select("gram", "rep", "n", bands).select("gram", "rep", "n", "b.*")
-        lead = banded.groupBy("gram", "kind", "band").agg(F.min(F.struct("rep", "n")).alias("low"), F.max(F.struct("rep", "n")).alias("high"), F.count("*").alias("size")).where("size > 1")
-        beside = banded.join(lead, ["gram", "kind", "band"]).select("gram", "rep", "n", F.explode(F.array("low", "high")).alias("lead"))
-        beside = beside.select("gram", F.col("lead.rep").alias("u"), F.col("lead.n").alias("m"), F.col("rep").alias("v"), "n").where("u <> v").distinct()
-        shared = beside.groupBy("u", "v", "m", "n").count().where(F.col("count") >= _least_shared(F.col("n"), F.col("m"), self.percent))
-        ahead = shared.groupBy("v").agg(F.max(F.struct("count", "u", "m")).alias("best"), F.min(F.struct("u", "m")).alias("first"))
-        ahead = ahead.select("v", F.explode(F.array_distinct(F.array(F.col("best.u"), F.col("first.u")))).alias("u"))
-        links = self._verified(ahead.select("u", "v"))
-
-        groups = components(links).withColumnRenamed("node", "rep")
-        placed = stored(lists.join(groups, "rep", "left").select("gram", "rep", "n", F.coalesce("component", "rep").alias("c")), "placed-lists")
-        across = placed.groupBy("gram").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("gram")
-        rest = placed.join(across, "gram")
-        one, two = (rest.select("gram", *[F.col(c).alias(f"{c}{i}") for c in ("rep", "n", "c")]) for i in (1, 2))
+        rest, links = self._lists(), None
+        for turn in range(TURNS):
+            found = self._verified(self._led(rest, turn))
+            links = found if links is None else links.unionByName(found)
+            rest = self._rest(rest, components(links), f"lists-{turn}")
+
+        # The first n-gram that two sets share stands early in both lists, as so many must follow it.
+        own = Window.partitionBy("rep")
+        rest = rest.withColumns({"k": F.row_number().over(own.orderBy(F.col("gram") < 0, "gram")), "all": F.count("*").over(own)})
+        one, two = (rest.select("gram", *[F.col(c).alias(f"{c}{i}") for c in ("rep", "n", "c", "k", "all")]) for i in (1, 2))
         near = (F.col("n1") * 100 >= F.col("n2") * self.percent) & (F.col("n2") * 100 >= F.col("n1") * self.percent)
-        pairs = one.join(two, "gram").where((F.col("rep1") < F.col("rep2")) & (F.col("c1") != F.col("c2")) & near)
-        pairs = pairs.groupBy("rep1", "rep2", "n1", "n2").count().where(F.col("count") >= _least_shared(F.col("n1"), F.col("n2"), self.percent))
-        more = self._verified(pairs.select(F.col("rep1").alias("u"), F.col("rep2").alias("v")))
-        groups = components(links.unionByName(more)).withColumnRenamed("node", "rep")
+        least = _least_shared(F.col("n1"), F.col("n2"), self.percent)
+        early = (F.col("k1") <= F.col("all1") - least + 1) & (F.col("k2") <= F.col("all2") - least + 1)
+        pairs = one.join(two, "gram").where((F.col("rep1") < F.col("rep2")) & (F.col("c1") != F.col("c2")) & near & early)
+        pairs = pairs.select("rep1", "rep2", "n1", "n2").distinct()
+        grams = stored(rest.groupBy("rep").agg(F.collect_set("gram").alias("grams")), "prefix-sets")
+        for i in (1, 2):
+            pairs = pairs.join(grams.withColumnsRenamed({"rep": f"rep{i}", "grams": f"g{i}"}), f"rep{i}")
+        pairs = pairs.where(F.size(F.array_intersect("g1", "g2")) >= least)
+        links = links.unionByName(self._verified(pairs.select(F.col("rep1").alias("u"), F.col("rep2").alias("v"))))
+        groups = components(links).withColumnRenamed("node", "rep")
         return self.classes.select("rep").join(groups, "rep", "left").select("rep", F.coalesce("component", "rep").alias("component"))
 
     def result(self) -> DataFrame:
@@ -257,11 +274,10 @@ class NgramJoin:
         return own.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
 
 
-def _links(group: list[tuple], percent: int) -> list[tuple[int, int]]:
+def _links(group: list[tuple[int, np.ndarray]], percent: int) -> list[tuple[int, int]]:
     if len(group) < 2:
         return []
-    sets = [np.frombuffer(r[4], np.uint64) for r in group]
-    return [(group[0][0], group[i + 1][3]) for i in trie_join(sets[0], sets[1:], percent)]
+    return [(group[0][0], group[i + 1][0]) for i in trie_join(group[0][1], [own for _, own in group[1:]], percent)]
 
 
 def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
