@@ -13,7 +13,7 @@ from millrace.llm import langid, lines, ngram_join, packing, suffix_dedup
 from millrace.llm.common import stored
 from millrace.llm.queries import public_tokenizer, table
 
-#: Texts whose languages are closer than this are rejected, as are those without a letter.
+#: Texts whose languages are closer than this are rejected (but no exact ties), as are those without a letter.
 MIN_MARGIN = 0.002
 
 

@@ -255,6 +255,21 @@ def test_language_id(spark):
     assert {r.lang_pred for r in langid.predict(odd, langid.fit(empty(spark))).collect()} == {"und"}
 
 
+def test_language_id_of_few_words(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where("lang is not null")
+    few = docs.where(F.size(F.split(F.trim("text"), r"\s+")) <= 5).where(F.col("text").rlike(r"\p{L}")).select("doc_id", "text", "lang").cache()
+    model = langid.fit(docs.join(few, "doc_id", "left_anti"))
+    n = few.count()
+    found = langid.predict(few, model, 0.002).join(few, "doc_id")
+    assert n > 50 and found.where("score = 0").count() > n / 2
+    assert found.where("lang = lang_pred").count() >= 0.95 * n
+    assert langid.keep_identified(few, model, 0.002).count() == n
+    odd = spark.createDataFrame([(1, "日本"), (2, "1 + 2"), (3, "Eser thed nt of.")], "doc_id long, text string")
+    assert [(r.lang_pred, r.score) for r in langid.predict(odd, model, 0.002).orderBy("doc_id").collect()] == [("en", 0.0), ("und", 0.0), ("en", 0.0)]
+    small = langid.CompressionModel({"aa": b"one two three four", "bb": b"uno dos tres cuatro"}, rows={"aa": 1, "bb": 2})
+    assert [small.likeliest(t, ["aa", "bb"]) for t in ("three", "tres", "xyz")] == ["aa", "bb", "bb"]
+
+
 def test_fingerprints(docs, rows):
     got = {r.doc_id: r for r in fingerprints.edited_fingerprints(docs).collect()}
     order = sorted(((d, t or "") for d, t, *_ in rows), reverse=True)
