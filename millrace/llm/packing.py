@@ -9,6 +9,7 @@ then numbers the pieces of each length in parallel and each piece finds its slot
 from __future__ import annotations
 
 import bisect
+import re
 import zlib
 from collections.abc import Callable, Iterator
 from functools import lru_cache
@@ -207,6 +208,15 @@ class WordIds(dict):
 
 _words: dict[str, WordIds] = {}
 
+#: White space to ``str.split`` but not to the tokenizer, which has ids for it.
+SEPARATORS = "\x1c\x1d\x1e\x1f"
+_WORD = re.compile(rf"[\S{SEPARATORS}]+")
+
+
+def words_of(text: str) -> list[str]:
+    """The runs of anything but the tokenizer's white space."""
+    return _WORD.findall(text) if any(c in text for c in SEPARATORS) else text.split()
+
 
 def pieces_of(path: str, capacity: int, end: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Arrow function from (doc_id, text) to the pieces of the documents' ids, each ended by ``end``."""
@@ -216,7 +226,7 @@ def pieces_of(path: str, capacity: int, end: int) -> Callable[[Iterator[pa.Recor
         ids = _words.setdefault(path, WordIds(path))
         for batch in slices(batches, "text", 4 << 20):
             docs = batch.column("doc_id").to_pylist()
-            split = [(t or "").split() for t in batch.column("text").to_pylist()]
+            split = [words_of(t or "") for t in batch.column("text").to_pylist()]
             ids.learn(set().union(*split))
             rows: list[tuple] = []
             for doc, words in zip(docs, split, strict=True):

@@ -241,6 +241,18 @@ def test_packing(docs, rows, spark):
     assert packing.pack_documents(same, path, 7).select("sequence_id").distinct().count() <= 167 + 84
 
 
+def test_packing_keeps_separators(spark):
+    from tokenizers import Tokenizer
+
+    path = public_tokenizer("word_bpe_49k.json")
+    texts = [f"ab{c}cd, {c} e{c}. {c}{c}" for c in map(chr, range(0x1C, 0x20))] + ["\x1c\x1d \x1e\x1f", "a" + "".join(map(chr, range(0x21))) + "b\x85\xa0c\u2028d\u3000e"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    encode = Tokenizer.from_file(path).encode
+    ids = [np.array(encode(t, add_special_tokens=False).ids + [0], "<u4") for t in texts]
+    got = {r.doc_id: (r.length, r.ids_crc32) for r in packing.pack_documents(df, path).collect()}
+    assert got == {i: (len(x), zlib.crc32(x.tobytes())) for i, x in enumerate(ids)}
+
+
 def test_language_id(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     found = QUERIES["op7_language_id"](spark, SF).join(docs, "doc_id")
