@@ -44,8 +44,11 @@ def segments(forwards: DataFrame) -> DataFrame:
     """(start_key, ts): the interval map after all ``forwards`` (seq, start_key, end_key, ts), by assignment in order.
 
     The least seq is the initial span. A boundary goes when a later forward covers it strictly inside, and
-    neighbours of equal value stay apart. Where nothing has been assigned the value is MAX_TS.
+    neighbours of equal value stay apart. Where nothing has been assigned the value is MAX_TS. Only the last
+    forward of each (start_key, end_key) can matter to a boundary or a value, so the range joins meet as many
+    rows as there are different ranges, however long the log.
     """
+    forwards = forwards.groupBy("start_key", "end_key").agg(F.max_by("ts", "seq").alias("ts"), F.max("seq").alias("seq"))
     bounds = forwards.select(F.col("start_key").alias("key"), "seq").unionByName(forwards.select(F.col("end_key").alias("key"), "seq"))
     made = bounds.groupBy("key").agg(F.max("seq").alias("made"))
     f = forwards.alias("f")

@@ -129,9 +129,11 @@ def frontier_advances(spark, sf_dir):
     return frontier.advances(frontier.region_frontier(resolved(spark, sf_dir)))
 
 
-def forwards(spark, sf_dir):
-    """Every region's progress as assignments to its range, after an initial span over all keys."""
-    rows = resolved(spark, sf_dir).where("tick < 6").join(derived.key_regions(spark, sf_dir), "region_id")
+def forwards(spark, sf_dir, ticks=None):
+    """Every region's progress (in the first ``ticks``, if given) as assignments to its range, after an initial span over all keys."""
+    rows = resolved(spark, sf_dir).join(derived.key_regions(spark, sf_dir), "region_id")
+    if ticks is not None:
+        rows = rows.where(F.col("tick") < ticks)
     steps = rows.select((F.col("tick") * 100_000 + F.col("region_id")).alias("seq"), "start_key", "end_key", F.col("resolved_ts").alias("ts"))
     whole = spark.range(1).select(F.lit(0).cast("long").alias("seq"), F.lit("").alias("start_key"), F.lit("~").alias("end_key"), F.lit(0).cast("long").alias("ts"))
     return steps.unionByName(whole)
@@ -139,11 +141,21 @@ def forwards(spark, sf_dir):
 
 @query
 def frontier_segments(spark, sf_dir):
+    return frontier.segments(forwards(spark, sf_dir, 6))
+
+
+@query
+def frontier_segments_whole(spark, sf_dir):
     return frontier.segments(forwards(spark, sf_dir))
 
 
 @query
 def slowest_range(spark, sf_dir):
+    return frontier.slowest(frontier.segments(forwards(spark, sf_dir, 6)).where("start_key <> ''"))
+
+
+@query
+def slowest_range_whole(spark, sf_dir):
     return frontier.slowest(frontier.segments(forwards(spark, sf_dir)).where("start_key <> ''"))
 
 

@@ -1,7 +1,10 @@
+import duckdb
 import pytest
 
 from millrace.model import MAX_TS
 from millrace.operators import frontier, ranges
+from millrace.plans.oracles import ORACLES
+from millrace.plans.queries import QUERIES
 from millrace.sources import derived
 from millrace.streaming.frontier import StandstillListener, stream_frontier
 
@@ -73,6 +76,19 @@ def test_stream_equals_batch(spark, tmp_path):
     assert got == sorted((r.tick, r.resolved_ts) for r in frontier.advances(frontier.region_frontier(rows)).collect())
 
 
+@pytest.mark.parametrize("name", ["frontier_segments", "slowest_range"])
+def test_whole_log_equals_unbounded_sql(spark, name):
+    sf = "/root/testdata/sf0.01"
+    con = duckdb.connect()
+    con.execute(f"create view events as select * from '{sf}/events.parquet'")
+    assert "where tick < 6" in ORACLES[name]
+    want = con.execute(ORACLES[name].replace("where tick < 6", "")).fetchall()
+    # No forward reaches the range behind the last region, so that one is the slowest with the bound or without.
+    assert (want == con.execute(ORACLES[name]).fetchall()) == (name == "slowest_range")
+    got = QUERIES[f"{name}_whole"](spark, sf)
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+
+
 def test_standstill_is_reported():
     now, told = [0.0], []
     listener = StandstillListener(lambda name, s: told.append((name, s)), 60, lambda: now[0])
