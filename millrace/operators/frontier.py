@@ -83,7 +83,8 @@ def with_frontier(changelog: DataFrame, frontier: DataFrame, at: str = "emit_seq
 
     ``frontier`` has from_seq (from which place on it holds) and resolved_ts, a row an advance. The series
     becomes ranges of places; both sides are dealt by blocks of ``width`` places, so the range join is
-    an equality join with a small remainder, however long the log.
+    an equality join with a small remainder, however long the log. The ranges are disjoint: each change meets
+    one at most, and repeated changes stay.
     """
     series = Window.orderBy("from_seq")
     top = changelog.agg(F.max(at)).first()[0] or 0
@@ -91,13 +92,11 @@ def with_frontier(changelog: DataFrame, frontier: DataFrame, at: str = "emit_seq
         F.col("from_seq").alias("_from"), F.coalesce(F.lead("from_seq").over(series), F.lit(top + 1)).alias("_to"), F.max("resolved_ts").over(series).alias("frontier_ts")
     ).where("_from < _to")
     block = lambda x: F.floor(x / width)
-    ranges = ranges.withColumn("_block", F.explode(F.sequence(block(F.col("_from")), block(F.col("_to") - 1))))
+    ranges = ranges.withColumn("_at", F.explode(F.sequence(block(F.col("_from")), block(F.col("_to") - 1))))
     place = F.col(at)
-    found = changelog.withColumn("_block", block(place)).join(ranges, "_block", "left")
-    hit = (place >= F.col("_from")) & (place < F.col("_to"))
-    keys = changelog.columns
-    best = found.groupBy(*keys).agg(F.max(F.when(hit, F.col("frontier_ts"))).alias("frontier_ts"))
-    return best.withColumn("frontier_ts", F.coalesce("frontier_ts", F.lit(-1)))
+    hit = (F.col("_block") == F.col("_at")) & (place >= F.col("_from")) & (place < F.col("_to"))
+    found = changelog.withColumn("_block", block(place)).join(ranges, hit, "left")
+    return found.select(*changelog.columns, F.coalesce("frontier_ts", F.lit(-1)).alias("frontier_ts"))
 
 
 def is_late(commit_ts: Column, frontier_ts: Column) -> Column:

@@ -89,6 +89,13 @@ def test_whole_log_equals_unbounded_sql(spark, name):
     assert sorted(map(tuple, got.collect())) == sorted(want)
 
 
+def test_repeated_changes_keep_their_number(spark):
+    changes = spark.createDataFrame([(n, "k") for n in (1, 5, 5, 9, 12, 12, 12)], "emit_seq long, key string")
+    series = spark.createDataFrame([(4, 40), (9, 90)], "from_seq long, resolved_ts long")
+    found = frontier.with_frontier(changes, series, width=4).collect()
+    assert sorted(map(tuple, found)) == [(1, "k", -1), *[(5, "k", 40)] * 2, (9, "k", 90), *[(12, "k", 90)] * 3]
+
+
 def test_standstill_is_reported():
     now, told = [0.0], []
     listener = StandstillListener(lambda name, s: told.append((name, s)), 60, lambda: now[0])
