@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,10 +21,12 @@ LOWER_ASCII = bytes.maketrans(_UPPER, _UPPER.lower())
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; set beside the warehouse only where none is configured."""
+    """The folder that driver and executors share, from ``spark.checkpoint.dir``; without it only a local master may go on."""
     conf = spark.sparkContext.getConf()
     path = spark.conf.get("spark.checkpoint.dir", None) or conf.get("spark.checkpoint.dir")
     if not path:
+        if not re.match(r"local($|\[)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         path = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(path)
@@ -46,10 +50,31 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it, so that helper columns never clash."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+_UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30, "t": 1 << 40, "tb": 1 << 40}
+
+
+def bytes_of(size: str) -> int:
+    """A byte size as Spark's settings write it: a number and a unit, if any."""
+    number, unit = re.fullmatch(r"\s*(-?\d+)\s*([a-z]*)\s*", size.lower()).groups()
+    return int(number) * _UNITS[unit]
+
+
 def small_batches(spark: SparkSession, most: int = 8 << 20) -> None:
-    """Hold Arrow batches to ``most`` bytes in this session, so that long texts can't fill a Python worker."""
+    """Hold Arrow batches to ``most`` bytes in this session, so that long texts can't fill a Python worker.
+
+    Frames are run after their operator has returned, so the setting stays; a smaller one of the user's is kept.
+    """
     name = "spark.sql.execution.arrow.maxBytesPerBatch"
-    if int(spark.conf.get(name).rstrip("b")) > most:
+    now = bytes_of(spark.conf.get(name))
+    if not 0 < now <= most:
         spark.conf.set(name, most)
 
 
@@ -65,6 +90,42 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 1 << 20)
             yield batch.slice(a, b - a)
 
 
+_SEPARATOR = re.compile(rb"[\x20\x09-\x0D]")
+
+
+def word_parts(raw: bytes, most: int = 1 << 20) -> Iterator[list[bytes]]:
+    """The words of a text in lists of about ``most`` bytes, so that a very long text is never one list."""
+    at = 0
+    while len(raw) - at > most:
+        cut = _SEPARATOR.search(raw, at + most)
+        if cut is None:
+            break
+        yield raw[at : cut.start()].split()
+        at = cut.start()
+    yield raw[at:].split()
+
+
+class WordHashes(dict):
+    """64-bit hashes by word, forgotten when there are ``most``."""
+
+    def __init__(self, most: int = 300_000) -> None:
+        super().__init__()
+        self.most = most
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= self.most:
+            self.clear()
+        value = xxhash.xxh3_64_intdigest(word)
+        if len(word) < 64:
+            self[word] = value
+        return value
+
+    def of(self, raw: bytes) -> np.ndarray:
+        """The hashes of a text's words."""
+        parts = [np.fromiter(map(self.__getitem__, words), np.uint64, len(words)) for words in word_parts(raw)]
+        return parts[0] if len(parts) == 1 else np.concatenate(parts)
+
+
 _MULT = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INVERSE = np.uint64(pow(int(_MULT), -1, 1 << 64))
 

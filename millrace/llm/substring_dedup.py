@@ -29,15 +29,15 @@ def deep_nodes(contexts: Contexts, depth: int) -> tuple[np.ndarray, np.ndarray]:
     return alive, node
 
 
-def later_windows(contexts: Contexts, docs: np.ndarray, first: np.ndarray, win: int) -> np.ndarray:
-    """Mark the windows that an earlier one of their deep node equals."""
+def later_windows(contexts: Contexts, weights: np.ndarray, docs: np.ndarray, first: np.ndarray, win: int) -> tuple[np.ndarray, np.ndarray]:
+    """Mark the windows that an earlier one of their deep node equals, and those whose context has later members."""
     mark = np.zeros(len(contexts.window), bool)
     alive, node = deep_nodes(contexts, win)
     if len(alive):
         order = np.lexsort((first[contexts.context[alive]] + contexts.offset[alive], docs[contexts.context[alive]], node))
         later = np.concatenate([[False], np.diff(node[order]) == 0])
         mark[alive[order[later]]] = True
-    return mark
+    return mark, weights[contexts.context] > 1
 
 
 def repeated_word_digests(docs: DataFrame, window: int = 20, gram: int = 4) -> DataFrame:
@@ -45,10 +45,12 @@ def repeated_word_digests(docs: DataFrame, window: int = 20, gram: int = 4) -> D
 
     A word goes if a window of ``window`` words that covers it has the words of an earlier window (smaller
     doc_id, or same document and earlier start; null ids come first; rows with equal ids are ordered by
-    place and then by a hash). Kept words are joined by one space. Null texts have no words.
+    place and then by a hash, and of rows that repeat wholly none is before the other). Kept words are joined by one
+    space. Null texts have no words, texts of fewer words than ``window`` lose none, very long ones are read in
+    segments. An empty table gives an empty result; other columns are not looked at.
     """
     kind = Kind(window, gram, word_symbols, word_codes, "u8")
-    rows, covers = repeats(docs, kind, lambda contexts, docs, first: later_windows(contexts, docs, first, window), keep_first=True, most=1 << 20)
+    rows, covers = repeats(docs, kind, lambda contexts, weights, ids, first: later_windows(contexts, weights, ids, first, window), keep_first=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 2 << 20):

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import slices
+from millrace.llm.common import slices, unused
 from millrace.llm.windows import Contexts, Kind, byte_codes, byte_symbols, covered, repeats, without
 
 #: A difference cover: each difference modulo PERIOD is one of two members, so any two suffixes reach
@@ -33,24 +33,18 @@ def cover_ranks(words: np.ndarray, length: int) -> np.ndarray:
     """Rank of each sampled position among all by its next ``length`` bytes (a multiple of PERIOD); 0 elsewhere.
 
     ``words`` has the next eight bytes of each position. Sampled positions stay sampled after PERIOD bytes,
-    so ranks double in length within the sample alone.
+    so ranks double in length within the sample alone. Two arrays are held at a time.
     """
     n = len(words)
     at = np.flatnonzero(np.isin(np.arange(n) % PERIOD, COVER))
     rank = np.zeros(n + length, np.uint64)
-    by_length = {}
-    done = PERIOD
     rank[at] = np.unique(words[at] >> np.uint64(8), return_inverse=True)[1] + 1
-    by_length[done] = rank
+    done = PERIOD
     while 2 * done <= length:
-        rank = _joined(by_length[done], by_length[done], done, at, n + length)
+        rank = _joined(rank, rank, done, at, n + length)
         done *= 2
-        by_length[done] = rank
-    while done < length:
-        more = max(x for x in by_length if x <= length - done)
-        rank = _joined(rank, by_length[more], done, at, n + length)
-        done += more
-    return rank
+    # The last ``done`` of the ``length`` bytes overlap the first ones: both together are all of them.
+    return rank if done == length else _joined(rank, rank, length - done, at, n + length)
 
 
 def _joined(head: np.ndarray, tail: np.ndarray, shift: int, at: np.ndarray, size: int) -> np.ndarray:
@@ -60,14 +54,15 @@ def _joined(head: np.ndarray, tail: np.ndarray, shift: int, at: np.ndarray, size
     return rank
 
 
-def suffix_ties(contexts: Contexts, win: int) -> np.ndarray:
+def suffix_ties(contexts: Contexts, weights: np.ndarray, win: int) -> np.ndarray:
     """Mark the windows of a block whose suffix shares ``win`` bytes with another of its bucket.
 
-    One bucket after the other has its suffixes sorted, by their first 32 bytes. Those still tied
-    are told apart by the cover: two suffixes agree on ``win`` bytes if they agree on their first and last
-    bytes and the sampled positions that both reach after the same step have the same rank.
+    A context of weight over one is there more than once itself. One bucket after the other has its suffixes
+    sorted, by their first 32 bytes. Those still tied are told apart by the cover: two suffixes agree on ``win`` bytes if they
+    agree on their first and last bytes and the sampled positions that both reach after the same step have the
+    same rank.
     """
-    mark = np.zeros(len(contexts.window), bool)
+    mark = weights[contexts.context] > 1
     padded = np.concatenate([contexts.symbols, np.zeros(8, np.uint8)]).astype(np.uint64)
     words = np.zeros(len(contexts.symbols), np.uint64)
     for j in range(8):
@@ -101,18 +96,23 @@ def _kind(length: int) -> Kind:
     return Kind(length, min(48, length // 2), byte_symbols, byte_codes, "u1")
 
 
-def _covers(docs: DataFrame, length: int) -> DataFrame:
+def _covers(docs: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
     if length < 64:
         raise ValueError("repeats must be of 64 bytes at least")
-    rows, covers = repeats(docs, _kind(length), lambda contexts, docs, first: suffix_ties(contexts, length), keep_first=False)
-    return rows.join(covers, "r", "left")
+
+    def solver(contexts: Contexts, weights: np.ndarray, docs: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return suffix_ties(contexts, weights, length), np.zeros(len(contexts.window), bool)
+
+    return repeats(docs, _kind(length), solver, keep_first=False)
 
 
 def repeated_byte_digests(docs: DataFrame, length: int = 400) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256: what is left of each text without repeats.
 
     A byte goes if a string of ``length`` bytes that covers it starts at any other place of the corpus,
-    the same text or a repeated row included. Null texts count as empty.
+    the same text or a repeated row included. Null texts count as empty and texts of fewer bytes lose nothing;
+    very long texts are read in segments. Ids may be null, equal or of any size: rows are told apart by id and text. An
+    empty table gives an empty result; other columns are not looked at.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -128,26 +128,28 @@ def repeated_byte_digests(docs: DataFrame, length: int = 400) -> DataFrame:
                 ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
             )
 
-    joined = _covers(docs, length).select("doc_id", "text", "cover")
+    rows, covers = _covers(docs, length)
+    joined = rows.join(covers, "r", "left").select("doc_id", "text", "cover")
     return joined.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def remove_repeats(docs: DataFrame, length: int = 400) -> DataFrame:
-    """``docs``, all columns, with the repeated bytes cut from ``text``; a null text stays null.
+    """``docs``, all columns whatever their names, with the repeated bytes cut from ``text``; a null text stays null.
 
-    A character of which a cut took some bytes goes as a whole.
+    A character of which a cut took some bytes goes as a whole. Rows that repeat wholly lose everything but
+    what is shorter than ``length``, as each is a place of its own. An empty table gives an empty result.
     """
-    _, covers = repeats(docs, _kind(length), lambda contexts, docs, first: suffix_ties(contexts, length), keep_first=False)
-    names = docs.columns
-    joined = docs.withColumn("_r", F.xxhash64("doc_id", "text")).join(covers.withColumnsRenamed({"r": "_r", "cover": "_cover"}), "_r", "left")
+    _, covers = _covers(docs, length)
+    names, key, cover = docs.columns, unused(docs, "_r"), unused(docs, "_cover")
+    joined = docs.withColumn(key, F.xxhash64("doc_id", "text")).join(covers.withColumnsRenamed({"r": key, "cover": cover}), key, "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 2 << 20):
             texts = []
-            for raw, cover in zip(batch.column("text").cast(pa.binary()).to_pylist(), batch.column("_cover").to_pylist(), strict=True):
-                spans = covered(cover, length)
+            for raw, spans in zip(batch.column("text").cast(pa.binary()).to_pylist(), batch.column(cover).to_pylist(), strict=True):
+                spans = covered(spans, length)
                 texts.append(raw if not spans else b"".join(raw[a:b].decode("utf-8", "ignore").encode() for a, b in without(spans, len(raw))))
             rest = batch.select(names)
             yield rest.set_column(names.index("text"), "text", pa.array(texts, pa.binary()).cast(batch.column("text").type))
 
-    return joined.select(*[F.col(f"`{c}`") for c in names], "_cover").mapInArrow(run, docs.schema)
+    return joined.select(*[F.col(f"`{c}`") for c in names], cover).mapInArrow(run, docs.schema)

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.llm import embeddings, fingerprints, langid, lines, ngram_join, packing, pieces, substring_dedup, suffix_dedup, urls
+from millrace.llm import embeddings, fingerprints, langid, lines, ngram_join, packing, pieces, substring_dedup, suffix_dedup, urls, windows
 from millrace.llm.components import components
 from millrace.llm.queries import QUERIES, URL_RULES, public_tokenizer
 
@@ -52,10 +52,20 @@ def empty(spark):
     return spark.createDataFrame([], SCHEMA)
 
 
-def test_suffix_dedup(docs, rows):
-    for length in (400, 64, 101):
-        got = {r.doc_id: tuple(r)[1:] for r in suffix_dedup.repeated_byte_digests(docs, length).collect()}
-        raw = {d: (t or "").encode() for d, t, *_ in rows}
+def hot_texts(n):
+    """Texts around one passage, some of them copies, so that its buckets have many classes."""
+    rng = random.Random(12)
+    shared = " ".join(words(rng, 60, 9999))
+    texts = [f"{' '.join(words(rng, 40, 9999))} {shared} {' '.join(words(rng, 40, 9999))}" for _ in range(n)]
+    return [(i, t) for i, t in enumerate([*texts, *texts[:3], *texts[:2], shared, f"{shared} {shared}"])]
+
+
+@pytest.mark.parametrize(("length", "most"), [(400, 256), (64, 2), (101, 256), (200, 3)])
+def test_suffix_dedup(spark, docs, rows, length, most, monkeypatch):
+    monkeypatch.setattr(windows, "MOST", most)  # small: buckets are split by longer and longer grams
+    for frame, data in ((docs, rows), (spark.createDataFrame(hot_texts(25), "doc_id long, text string"), hot_texts(25))):
+        got = {r.doc_id: tuple(r)[1:] for r in suffix_dedup.repeated_byte_digests(frame, length).collect()}
+        raw = {d: (t or "").encode() for d, t, *_ in data}
         seen = collections.Counter(b[p : p + length] for b in raw.values() for p in range(len(b) - length + 1))
         for d, b in raw.items():
             mark = bytearray(len(b))
@@ -78,7 +88,10 @@ def test_suffix_dedup_of_hot_buckets(spark):
     assert all(shared not in t for t in kept.values())
 
 
-def test_substring_dedup(spark, docs, rows):
+@pytest.mark.parametrize("most", [256, 2])
+def test_substring_dedup(spark, docs, rows, most, monkeypatch):
+    monkeypatch.setattr(windows, "MOST", most)
+
     def check(frame, data):
         got = {r.doc_id: tuple(r)[1:] for r in substring_dedup.repeated_word_digests(frame).collect()}
         seen = set()
@@ -94,10 +107,7 @@ def test_substring_dedup(spark, docs, rows):
             assert got[d] == (len(w), sum(mark), hashlib.sha256(kept).hexdigest()), d
 
     check(docs, [(r[0], r[1]) for r in rows])
-    rng = random.Random(5)
-    shared = " ".join(words(rng, 30))
-    hot = [(i, f"{' '.join(words(rng, 40, 9999))} {shared} {' '.join(words(rng, 40, 9999))}") for i in range(150)]
-    check(spark.createDataFrame(hot, "doc_id long, text string"), hot)
+    check(spark.createDataFrame(hot_texts(25), "doc_id long, text string"), hot_texts(25))
 
 
 def shingles(text):
