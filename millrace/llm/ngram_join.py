@@ -8,8 +8,9 @@ prefix tree under the set that they are compared with, which is matched against
 
 Groups of near copies are not expanded into pairs. First each document is compared with the leader of
 its lists, the least id of about its size, twice with other bounds of size. Lists whose members are in one
-component by then are done: links within a component cannot change it. In the rest all pairs across
-components are candidates, so the components are those of the full join.
+component by then are done: links within a component cannot change it. In the rest, pairs across components
+are candidates if their sizes, their places in the lists and their sketches (bitmaps of the sets, which bound an overlap
+from above) leave room for a link, so the components are those of the full join.
 """
 
 from __future__ import annotations
@@ -22,15 +23,20 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import BYTE_CODES, LOWER_ASCII, SpanHash, mix, only, signed, slices, small_batches, stored
+from millrace.llm.common import LOWER_ASCII, SpanHash, WordHashes, mix, only, signed, slices, small_batches, stored
 from millrace.llm.components import components
 
 #: N-grams that go to the end of the global order: at most so many, the most frequent ones.
 MAX_FREQUENT = 100_000
 _FREQUENT = np.uint64(1 << 63)
 _SLICE = 1 << 19
-#: Times that documents are compared with leaders before all pairs across components are.
+#: Times at most that documents are compared with leaders before all pairs that still are candidates are.
 TURNS = 2
+#: Columns of 64 bits in a set's sketch, which bounds overlaps from above.
+SKETCH = [f"s{i}" for i in range(16)]
+
+
+_hashes = WordHashes()
 
 
 def shingle_sets(texts: pa.Array, size: int) -> list[np.ndarray]:
@@ -38,12 +44,9 @@ def shingle_sets(texts: pa.Array, size: int) -> list[np.ndarray]:
 
     A text of fewer words has one, of all its words; a text without words has none.
     """
-    raw = [(t or b"").translate(LOWER_ASCII).split() for t in texts.cast(pa.binary()).to_pylist()]
-    bounds = np.concatenate([[0], np.cumsum([len(t) for t in raw], dtype=np.int64)])
-    flat = np.frombuffer(b" ".join([b" ".join(t) for t in raw if t] + [b""]), np.uint8)
-    ends = np.flatnonzero(flat == 32)
-    starts = np.concatenate([[0], ends[:-1] + 1]) if len(ends) else ends
-    words = SpanHash(BYTE_CODES[flat]).spans(starts, ends) ^ mix((ends - starts).astype(np.uint64))
+    found = [_hashes.of((t or b"").translate(LOWER_ASCII)) for t in texts.cast(pa.binary()).to_pylist()]
+    bounds = np.concatenate([[0], np.cumsum([len(t) for t in found], dtype=np.int64)])
+    words = np.concatenate([*found, np.zeros(0, np.uint64)])
     spans = SpanHash(words)
     grams = spans.grams(size) >> np.uint64(1)
     sets = []
@@ -56,8 +59,21 @@ def shingle_sets(texts: pa.Array, size: int) -> list[np.ndarray]:
     return sets
 
 
+def sketch(own: np.ndarray) -> np.ndarray:
+    """The set as a bitmap over its n-grams' hashes, 64 bits in each of ``SKETCH``."""
+    bits = np.zeros(64 * len(SKETCH), np.uint8)
+    bits[(mix(own + np.uint64(3)) % np.uint64(len(bits))).astype(np.int64)] = 1
+    return np.packbits(bits).view(np.int64)
+
+
+def _most_shared(n: Column, own: list[Column], other: list[Column]) -> Column:
+    """So many of a set's n n-grams at most are in another: each of its bits that the other lacks stands for one that isn't."""
+    lacking = [F.bit_count(a.bitwiseAND(F.bitwise_not(b))) for a, b in zip(own, other, strict=True)]
+    return n - sum(lacking[1:], lacking[0])
+
+
 def _signatures(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """A row a document (its set's size and digest), and rows (gram, documents) of n-grams that are frequent in a batch."""
+    """A row a document (its set's size, digest and sketch), and rows (gram, documents) of n-grams that are frequent in a batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -68,14 +84,16 @@ def _signatures(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.R
             grams, counts = np.unique(np.concatenate([*sets, np.zeros(0, np.uint64)]), return_counts=True)
             often = counts >= 3
             k = int(often.sum())
+            drawn = np.array([sketch(x) for x in sets], np.int64).reshape(-1, len(SKETCH))
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.concat_arrays([batch.column("doc_id"), pa.nulls(k, pa.int64())]),
                     pa.array([*n, *[None] * k], pa.int64()),
                     pa.array(np.concatenate([signed(np.array(one, np.uint64)), signed(grams[often])])),
                     pa.array(np.concatenate([signed(np.array(two, np.uint64)), counts[often]])),
+                    *[pa.concat_arrays([pa.array(drawn[:, i]), pa.nulls(k, pa.int64())]) for i in range(len(SKETCH))],
                 ],
-                ["doc_id", "n", "x", "y"],
+                ["doc_id", "n", "x", "y", *SKETCH],
             )
 
     return run
@@ -112,22 +130,29 @@ def trie_join(probe: np.ndarray, sets: list[np.ndarray], percent: int) -> list[i
     """Numbers of the ``sets`` (ordered keys) with ``100 |A & B| >= percent |A | B|`` against ``probe``.
 
     The sets, sorted, are the leaves of a prefix tree whose edges hold the keys that all leaves below
-    share. An edge's keys are matched once for all of these. A subtree is left as soon as the overlap so
-    far and the most that any of its sets has left cannot reach the least overlap any of them needs.
+    share. An edge's keys are matched when it is reached, once for all of these, and the overlap is handed down.
+    A subtree is left, unmatched, as soon as the overlap so far and what is left of the probe and of the longest of
+    its sets cannot reach the least overlap that any of them needs. Long edges are matched in parts, with
+    the same test after each.
     """
     order = sorted(range(len(sets)), key=lambda i: sets[i].astype(">u8").tobytes())
     rows = [sets[i] for i in order]
     common = [_common(a, b) for a, b in zip(rows, rows[1:], strict=False)]
     need = [-(-percent * (len(probe) + len(r)) // (100 + percent)) for r in rows]
-    inside = [_in(r, probe) for r in rows]
     found, stack = [], [(0, len(rows), 0, 0)]
     while stack:
         low, high, depth, overlap = stack.pop()
         # The keys that all of low..high share beyond depth: one edge.
         end = min(common[low : high - 1], default=len(rows[low]))
-        overlap += int(np.count_nonzero(inside[low][depth:end]))
-        most = max(len(r) for r in rows[low:high]) - end
-        if overlap + most < min(need[low:high]):
+        longest, least = max(len(r) for r in rows[low:high]), min(need[low:high])
+        dead = False
+        while depth < end and not dead:
+            step = rows[low][depth : min(end, depth + 64)]
+            overlap += int(np.count_nonzero(_in(step, probe)))
+            depth += len(step)
+            beyond = len(probe) - int(np.searchsorted(probe, step[-1], side="right"))
+            dead = overlap + min(longest - depth, beyond) < least
+        if dead:
             continue
         if high - low == 1:
             if overlap >= need[low]:
@@ -162,13 +187,13 @@ class NgramJoin:
     def __init__(self, docs: DataFrame, size: int = 5, percent: int = 80) -> None:
         self.docs, self.size, self.percent = only(docs, "doc_id", "text").where("doc_id is not null"), size, percent
         small_batches(docs.sparkSession)
-        rows = stored(self.docs.mapInArrow(_signatures(size), "doc_id long, n long, x long, y long"), "signatures")
-        self.signatures = rows.where("n is not null").select("doc_id", "n", F.col("x").alias("d1"), F.col("y").alias("d2"))
+        rows = stored(self.docs.mapInArrow(_signatures(size), ", ".join(f"{c} long" for c in ("doc_id", "n", "x", "y", *SKETCH))), "signatures")
+        self.signatures = rows.where("n is not null").select("doc_id", "n", F.col("x").alias("d1"), F.col("y").alias("d2"), *SKETCH)
         counts = rows.where("n is null").groupBy("x").agg(F.sum("y").alias("count")).where("count >= 20")
         top = counts.orderBy(F.desc("count"), "x").limit(MAX_FREQUENT).collect()  # at most MAX_FREQUENT numbers
         self.order = self.docs.sparkSession.sparkContext.broadcast(Order([(r[0], r[1]) for r in top]))
         #: One row a different set: its least doc_id stands for it.
-        self.classes = stored(self.signatures.where("n > 0").groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("rep")), "set-classes")
+        self.classes = stored(self.signatures.where("n > 0").groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("rep"), *[F.any_value(x).alias(x) for x in SKETCH]), "set-classes")
 
     def _prefixes(self) -> DataFrame:
         size, percent, order = self.size, self.percent, self.order
@@ -219,21 +244,33 @@ class NgramJoin:
         return stored(trees.mapInArrow(run, "u long, v long"), "links")
 
     def _led(self, lists: DataFrame, turn: int) -> DataFrame:
-        """(u, v): each document with one leader, among its lists' first members of its band of sizes, that it may link with.
+        """(u, v): each document with one leader of another component that it may link with, among those of its lists and band of sizes.
 
-        The first is the least id in turn 0, later the least by a hash, so that each turn has other leaders.
+        A list's leader is its least id in turn 0; later it has two, the least and the greatest by a hash, so that each turn has others.
         """
         step = 2 * math.log(100 / self.percent)
         rank = F.col("rep") if turn == 0 else F.xxhash64("rep", F.lit(turn))
-        banded = lists.select("gram", "rep", "n", F.floor(F.log("n") / step + turn / 2).cast("int").alias("band"), rank.alias("rank"))
-        lead = banded.groupBy("gram", "band").agg(F.min(F.struct("rank", "rep", "n")).alias("lead"), F.count("*").alias("size")).where("size > 1")
-        lead = lead.select("gram", "band", F.col("lead.rep").alias("u"), F.col("lead.n").alias("m"))
-        beside = banded.join(lead, ["gram", "band"]).where("u <> rep")
+        part = F.col("c") if "c" in lists.columns else F.col("rep")
+        banded = lists.select("gram", "rep", "n", part.alias("c"), F.floor(F.log("n") / step + turn / 2).cast("int").alias("band"), rank.alias("rank"))
+        ends = [f(F.struct("rank", "rep", "n", "c")) for f in ((F.min,) if turn == 0 else (F.min, F.max))]
+        lead = banded.groupBy("gram", "band").agg(F.array(*ends).alias("leads"), F.count("*").alias("size")).where("size > 1")
+        lead = lead.select("gram", "band", F.explode("leads").alias("lead"))
+        lead = lead.select("gram", "band", F.col("lead.rep").alias("u"), F.col("lead.n").alias("m"), F.col("lead.c").alias("of"))
+        beside = banded.join(lead, ["gram", "band"]).where("of <> c")
         shared = beside.groupBy("u", F.col("rep").alias("v"), "m", "n").count()
         # A leader need not lead all lists that it shares, so half the least number will do here.
         likely = shared.where(F.col("count") * 2 >= _least_shared(F.col("n"), F.col("m"), self.percent))
         pairs = likely.groupBy("v").agg(F.max_by("u", F.struct("count", "u")).alias("u"))
-        return pairs.join(self.classes.select(F.col("rep").alias("v")), "v", "left_semi").select("u", "v")
+        for side in ("u", "v"):  # representatives alone have sketches, so rows with equal sets go here
+            pairs = pairs.join(self.classes.select(F.col("rep").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in ("n", *SKETCH)]), side)
+        return pairs.where(self._able("u", "v")).select("u", "v")
+
+    def _able(self, one: str, two: str) -> Column:
+        """Whether the sketches of two sets leave room for the overlap that a link needs."""
+        a, b = F.col(f"n_{one}"), F.col(f"n_{two}")
+        s, t = ([F.col(f"{c}_{x}") for c in SKETCH] for x in (one, two))
+        overlap = F.ceil(F.lit(self.percent) * (a + b) / F.lit(100 + self.percent))
+        return (_most_shared(a, s, t) >= overlap) & (_most_shared(b, t, s) >= overlap)
 
     def _rest(self, lists: DataFrame, groups: DataFrame, name: str) -> DataFrame:
         """Lists with members of several components: (gram, rep, n, c), one document a different set."""
@@ -247,18 +284,24 @@ class NgramJoin:
         rest, links = self._lists(), None
         for turn in range(TURNS):
             found = self._verified(self._led(rest, turn))
+            if turn and found.isEmpty():
+                break
             links = found if links is None else links.unionByName(found)
             rest = self._rest(rest, components(links), f"lists-{turn}")
 
         # The first n-gram that two sets share stands early in both lists, as so many must follow it.
         own = Window.partitionBy("rep")
         rest = rest.withColumns({"k": F.row_number().over(own.orderBy(F.col("gram") < 0, "gram")), "all": F.count("*").over(own)})
-        one, two = (rest.select("gram", *[F.col(c).alias(f"{c}{i}") for c in ("rep", "n", "c", "k", "all")]) for i in (1, 2))
-        near = (F.col("n1") * 100 >= F.col("n2") * self.percent) & (F.col("n2") * 100 >= F.col("n1") * self.percent)
+        rest = stored(rest.join(self.classes.select("rep", *SKETCH), "rep"), "sketched-lists")
+        one, two = (rest.select("gram", *[F.col(c).alias(f"{c}_{i}") for c in ("rep", "n", "c", "k", "all", *SKETCH)]) for i in (1, 2))
+        n1, n2 = F.col("n_1"), F.col("n_2")
+        near = (n1 * 100 >= n2 * self.percent) & (n2 * 100 >= n1 * self.percent)
+        least = _least_shared(n1, n2, self.percent)
+        early = (F.col("k_1") <= F.col("all_1") - least + 1) & (F.col("k_2") <= F.col("all_2") - least + 1)
+        pairs = one.join(two, "gram").where((F.col("rep_1") < F.col("rep_2")) & (F.col("c_1") != F.col("c_2")) & near & early & self._able("1", "2"))
+        pairs = pairs.select(*[F.col(f"{c}_{i}").alias(f"{c}{i}") for c in ("rep", "n") for i in (1, 2)])
         least = _least_shared(F.col("n1"), F.col("n2"), self.percent)
-        early = (F.col("k1") <= F.col("all1") - least + 1) & (F.col("k2") <= F.col("all2") - least + 1)
-        pairs = one.join(two, "gram").where((F.col("rep1") < F.col("rep2")) & (F.col("c1") != F.col("c2")) & near & early)
-        pairs = pairs.select("rep1", "rep2", "n1", "n2").distinct()
+        pairs = pairs.distinct()
         grams = stored(rest.groupBy("rep").agg(F.collect_set("gram").alias("grams")), "prefix-sets")
         for i in (1, 2):
             pairs = pairs.join(grams.withColumnsRenamed({"rep": f"rep{i}", "grams": f"g{i}"}), f"rep{i}")

@@ -274,7 +274,8 @@ def _cut_longer(contexts: DataFrame, kind: Kind, k: int) -> DataFrame:
 
 
 def _sized(classes: DataFrame) -> DataFrame:
-    return classes.join(classes.groupBy("a").agg(F.count("*").alias("classes")), "a")
+    """Classes with the number of them in their bucket; it is stored first, so that a hot bucket's join can be split."""
+    return classes.join(stored(classes.groupBy("a").agg(F.count("*").alias("classes")), "buckets"), "a")
 
 
 def _marks(contexts: DataFrame, kind: Kind, solver: Solver, most: int, level: int = 0) -> DataFrame:
@@ -309,7 +310,7 @@ def repeats(docs: DataFrame, kind: Kind, solver: Solver, keep_first: bool, most:
     small_batches(docs.sparkSession)
     rows = _rows(docs)
     every = stored(rows.mapInArrow(_occurrence_rows(kind), _OCCURRENCE), "occurrences")
-    again = every.groupBy("a").count().where("count > 1").select("a")
+    again = stored(every.groupBy("a").count().where("count > 1").select("a"), "anchors")
     found = stored(every.join(again, "a"), "repeated-anchors")
     classes = found.groupBy("a", "c").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "first", "r", "last")).alias("top"))
     classes = stored(_sized(stored(classes.select("a", "c", "n", "top.*"), "classes")), "sized-classes")

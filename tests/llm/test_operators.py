@@ -150,6 +150,34 @@ def test_ngram_join(spark, docs, rows):
     assert {r.doc_id for r in ngram_join.keep_one(df).collect()} == {d for d in ids if want[d] == d}
 
 
+def thue_morse(n):
+    """Words of 2 ** n letters that polynomial hashes modulo 2 ** 64 can't tell from their complement."""
+    word = "".join("ab"[bin(i).count("1") % 2] for i in range(1 << n))
+    return word, word.translate(str.maketrans("ab", "ba"))
+
+
+def test_hashes_tell_thue_morse_words_apart(spark):
+    one, two = thue_morse(12)
+    df = spark.createDataFrame([(1, one), (2, two), (3, " ".join([one] * 20)), (4, " ".join([two] * 20))], "doc_id long, text string")
+    assert {(r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.near_copies(df).collect()} == {(i, 1, i) for i in (1, 2, 3, 4)}
+    assert {r.n_removed for r in substring_dedup.repeated_word_digests(df).collect()} == {0}
+    raw = spark.createDataFrame([(1, one[:700]), (2, two[:700])], "doc_id long, text string")
+    seen = collections.Counter(t[p : p + 400] for t in (one[:700], two[:700]) for p in range(301))
+    want = {i: sum(any(seen[t[p : p + 400]] > 1 for p in range(max(0, x - 399), min(x, 300) + 1)) for x in range(700)) for i, t in ((1, one[:700]), (2, two[:700]))}
+    assert {r.doc_id: r.n_removed for r in suffix_dedup.repeated_byte_digests(raw).collect()} == want
+
+
+def test_sketches_bound_overlaps(spark):
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 1 << 62, 400).astype(np.uint64)
+    for k in (1, 30, 200, 399):
+        a, b = np.sort(base[:300]), np.sort(base[k:])
+        one, two = (ngram_join.sketch(x).tolist() for x in (a, b))
+        df = spark.createDataFrame([(*one, *two)], ", ".join(f"{s}{c} long" for s in "ab" for c in ngram_join.SKETCH))
+        most = ngram_join._most_shared(F.lit(len(a)), *[[F.col(f"{s}{c}") for c in ngram_join.SKETCH] for s in "ab"])
+        assert df.select(most.alias("m")).first().m >= len(np.intersect1d(a, b))
+
+
 def test_trie_join_equals_plain_overlap():
     rng = random.Random(2)
     for _ in range(60):
