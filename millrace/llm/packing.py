@@ -11,11 +11,14 @@ from __future__ import annotations
 import bisect
 import re
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -148,49 +151,51 @@ def _tokenizer(path: str):
 class WordIds(dict):
     """Ids (little-endian bytes) by word, remembered in two generations of bounded size.
 
-    A word of ASCII letters, after which there may be full stops, commas and exclamation marks, is two
-    tokens' worth of text for a vocabulary that parts letters from signs: its letters are encoded in
-    lower case, many words at once, and cut where a token ends a word.
+    The vocabulary must part letters from signs, put letters in lower case and mark where a word ends. Then a word of
+    Latin letters, after which there may be full stops, commas and exclamation marks, is two tokens' worth of text:
+    its letters are encoded in lower case, many words at once, and cut where a token ends a word.
     """
 
+    #: A line of letters and signs, or any other.
+    _LINE = re.compile(r"^(?:([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!]*)|(.*))$", re.M)
+
     def __init__(self, path: str, most: int = 400_000) -> None:
         super().__init__()
         self.path, self.most, self.old = path, most, {}
-        vocabulary = _tokenizer(path).get_vocab()
+        known = _tokenizer(path)
+        probe = known.encode_batch(["Ab", "ab", " ab  ab\n", "ab!", "!"], add_special_tokens=False)
+        one, low, two, signed, sign = (e.ids for e in probe)
+        if not (one == low and two == low * 2 and signed == low + sign and probe[0].tokens[-1].endswith("</w>")):
+            raise ValueError("a tokenizer is needed that drops white space, lowers letters and marks the ends of words")
+        vocabulary = known.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
 
-    def learn(self, words: set[str]) -> None:
+    def learn(self, words: list[str]) -> None:
         if len(self) > self.most:
             self.old = dict(self)
             self.clear()
-        old, simple, other = self.old, {}, []
-        for w in words:
-            if w not in self:
-                if w in old:
-                    self[w] = old[w]
-                    continue
-                core = w.rstrip(".,!")
-                if core.isascii() and core.isalpha():
-                    simple.setdefault(core.lower(), []).append(w)
-                else:
-                    other.append(w)
-        self._encode(other)
-        known = {c: self.get(c) or old.get(c) for c in simple}
-        self._encode_cores([c for c, ids in known.items() if ids is None])
-        signs = {w[len(w.rstrip(".,!")) :] for ws in simple.values() for w in ws}
-        self._encode([s for s in signs if s not in self])
-        for core, ws in simple.items():
-            ids = known[core] or self[core]
-            for w in ws:
-                n = len(core)
-                self[w] = ids if len(w) == n else ids + self[w[n:]]
+        old, unknown = self.old, set(filterfalse(self.__contains__, words))
+        if old:
+            self.update({w: old[w] for w in unknown & old.keys()})
+            unknown -= self.keys()
+        new = list(unknown)
+        found = self._LINE.findall("\n".join(new)) if new else []
+        cores = [core.lower() for core, _, _ in found]
+        needed = set(cores) - {""}
+        self.update({c: old[c] for c in (needed - self.keys()) & old.keys()})
+        self._encode_cores(list(needed - self.keys()))
+        self._encode([w for w, core in zip(new, cores, strict=True) if not core])
+        self._encode(list({signs for _, signs, _ in found} - {""} - self.keys()))
+        for w, core, (_, signs, _) in zip(new, cores, found, strict=True):
+            if core:
+                self[w] = self[core] + self[signs] if signs else self[core]
 
     def _encode(self, words: list[str]) -> None:
         for i in range(0, len(words), 4096):
             part = words[i : i + 4096]
             for w, e in zip(part, _tokenizer(self.path).encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self[w] = np.array(e.ids, "<u4").tobytes()
+                self[w] = array("I", e.ids).tobytes()
 
     def _encode_cores(self, cores: list[str], at_once: int = 128) -> None:
         for i in range(0, len(cores), 64 * at_once):
@@ -208,16 +213,6 @@ class WordIds(dict):
 
 _words: dict[str, WordIds] = {}
 
-#: White space to ``str.split`` but not to the tokenizer, which has ids for it.
-SEPARATORS = "\x1c\x1d\x1e\x1f"
-_WORD = re.compile(rf"[\S{SEPARATORS}]+")
-
-
-def words_of(text: str) -> list[str]:
-    """The runs of anything but the tokenizer's white space."""
-    return _WORD.findall(text) if any(c in text for c in SEPARATORS) else text.split()
-
-
 def pieces_of(path: str, capacity: int, end: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Arrow function from (doc_id, text) to the pieces of the documents' ids, each ended by ``end``."""
     last = end.to_bytes(4, "little")
@@ -225,12 +220,21 @@ def pieces_of(path: str, capacity: int, end: int) -> Callable[[Iterator[pa.Recor
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = _words.setdefault(path, WordIds(path))
         for batch in slices(batches, "text", 4 << 20):
-            docs = batch.column("doc_id").to_pylist()
-            split = [words_of(t or "") for t in batch.column("text").to_pylist()]
-            ids.learn(set().union(*split))
+            # White space beyond ASCII stays within a word here, which the tokenizer itself then parts.
+            split = pc.ascii_split_whitespace(batch.column("text").fill_null(""))
+            coded = split.flatten().dictionary_encode()
+            words, which = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+            ids.learn(words)
+            known = [ids[w] for w in words]
+            sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
+            sums = np.concatenate([[0], np.cumsum(sizes[which])])
+            # The ids of word after word: where each word's ids start among those of all, counted on.
+            at = np.repeat((np.cumsum(sizes) - sizes)[which] - sums[:-1], sizes[which]) + np.arange(sums[-1])
+            flat = np.frombuffer(b"".join(known), "<u4")[at]
+            bounds = sums[split.offsets.to_numpy()]
             rows: list[tuple] = []
-            for doc, words in zip(docs, split, strict=True):
-                raw = b"".join(map(ids.__getitem__, words)) + last
+            for doc, start, stop in zip(batch.column("doc_id").to_pylist(), bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+                raw = flat[start:stop].tobytes() + last
                 for k, at in enumerate(range(0, len(raw), 4 * capacity)):
                     part = raw[at : at + 4 * capacity]
                     rows.append((doc, k, at // 4, len(part) // 4, zlib.crc32(part)))
