@@ -62,3 +62,10 @@ def pack_datetime(at: Column) -> Column:
     time = F.shiftleft(F.hour(at).cast("long"), 12).bitwiseOR(F.shiftleft(F.minute(at).cast("long"), 6)).bitwiseOR(F.floor(second).cast("long"))
     micros = F.round((second - F.floor(second)) * 1_000_000).cast("long")
     return F.shiftleft(F.shiftleft(date, 17).bitwiseOR(time), 24).bitwiseOR(micros)
+
+
+def table_range(table_id: Column) -> tuple[Column, Column]:
+    """First key and first key behind the rows of a table: ``t``, the id in order-preserving form, ``_r`` or ``_s``."""
+    number = F.unhex(F.lpad(F.hex(table_id.bitwiseXOR(F.lit(-(1 << 63)))), 16, "0"))
+    at = lambda mark: F.concat(F.encode(F.lit("t"), "UTF-8"), number, F.encode(F.lit(mark), "UTF-8"))
+    return at("_r"), at("_s")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import random
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.model import DELETE, OPERATE_CODES, PUT
@@ -37,6 +37,25 @@ def clamped_minus(a: Column, b: Column) -> Column:
     return F.greatest(low, F.least(high, wide)).cast("long")
 
 
+def time_since(at: Column, now: Column) -> Column:
+    """Milliseconds from one timestamp to another, held at the bounds."""
+    micros = lambda x: F.unix_micros(x.cast("timestamp"))
+    return F.floor(clamped_minus(micros(now), micros(at)) / F.lit(1000))
+
+
+def with_ids(rows: DataFrame, name: str = "id", slots: int = 256) -> DataFrame:
+    """Adds different numbers from 1 on without a gap, the same at each run.
+
+    Rows are numbered within hash slots of all their columns and slots are counted on, so no task sees all rows.
+    """
+    slot_of = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns]), F.lit(slots)).cast("int")
+    dealt = rows.select(F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias("row"), slot_of.alias("slot"))
+    before = Window.orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)  # a row a slot
+    start = dealt.groupBy("slot").agg(F.count("*").alias("n")).select("slot", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    numbered = dealt.withColumn("nth", F.row_number().over(Window.partitionBy("slot").orderBy("row")))
+    return numbered.join(F.broadcast(start), "slot").select("row.*", (F.col("start") + F.col("nth")).cast("long").alias(name))
+
+
 def slot(region_id: Column, n: int) -> Column:
     return F.pmod(region_id, F.lit(n))
 

@@ -10,6 +10,8 @@ MAX_TS = (1 << 63) - 1
 """A timestamp without bound: endless reading, or a range that nothing has advanced yet."""
 
 INITIALIZED, COMMITTED, PREWRITE, COMMIT, ROLLBACK = LOG_TYPES = ("INITIALIZED", "COMMITTED", "PREWRITE", "COMMIT", "ROLLBACK")
+#: Marks of a streamed log without a key: the region's resolved timestamp (as commit_ts), and that the region is left.
+RESOLVED, STOPPED = MARKS = ("RESOLVED", "STOPPED")
 PUT, DELETE = "PUT", "DELETE"
 
 #: Fixed codes of the operation types; there is no code 5.
@@ -41,11 +43,10 @@ def region_schema(key: T.DataType | None = None) -> T.StructType:
 
 @dataclass(frozen=True)
 class Options:
-    """Settings of a feed: how far to rewind, how large a row may be before it is noted, how to split work."""
+    """Settings of a feed: how far to rewind, how large a row may be before it is noted, how fast a stream may read."""
 
     rewind: int = 20_000_000_000
     max_row_bytes: int = 12 << 20
-    workers: int = 4
     rate_kb_per_s: int = 20_000
 
 

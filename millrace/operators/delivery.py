@@ -31,10 +31,21 @@ def resolved_violations(changelog: DataFrame) -> DataFrame:
 
 
 def oversize(log: DataFrame, options: Options = Options()) -> DataFrame:
-    size = F.coalesce(F.length("key"), F.lit(0)) + F.coalesce(F.length(F.col("new_value").cast("string")), F.lit(0)) + F.coalesce(F.length(F.col("old_value").cast("string")), F.lit(0))
+    """Bytes of a row's key and values (numbers as they are printed), and whether they are over the limit; nothing is dropped."""
+    own = lambda name: F.coalesce(F.octet_length(F.col(name) if log.schema[name].dataType.typeName() == "binary" else F.col(name).cast("string")), F.lit(0))
+    size = own("key") + own("new_value") + own("old_value")
     return log.withColumn("row_bytes", size.cast("long")).withColumn("oversize", F.col("row_bytes") > options.max_row_bytes)
 
 
+#: Columns that say where an entry's table comes from; a copy is without them.
+ORIGIN = ["db_name", "table_name", "table_info"]
+
+
+def copied(log: DataFrame) -> DataFrame:
+    """The entries themselves, without what is known of their table."""
+    return log.drop(*ORIGIN)
+
+
 def lag(resolved: DataFrame, now: int) -> DataFrame:
     return resolved.withColumn("lag", clamped_minus(F.lit(now), F.col("resolved_ts")))
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.functions.scalar import clamped_minus
+
 
 def store_stats(changelog: DataFrame, stores: DataFrame, resolved: DataFrame) -> DataFrame:
     """Regions, greatest resolved and commit timestamps by table and store.
@@ -35,6 +37,33 @@ def penalty_streaks(resolved: DataFrame) -> DataFrame:
     return rows.withColumn("penalty", (F.row_number().over(within) - 1).cast("long")).drop("_rise", "_run")
 
 
+def penalties(messages: DataFrame) -> DataFrame:
+    """Each message of (region_id, seq, resolved_ts, event_time) with its region's ``penalty`` after it.
+
+    A timestamp above all before sets the penalty to zero and the region's event time to its own. Any other counts if its event
+    time is later than the region's, which it then becomes; older and equal ones change nothing.
+    """
+    by_region = Window.partitionBy("region_id").orderBy("seq")
+    top = F.max("resolved_ts").over(by_region.rowsBetween(Window.unboundedPreceding, -1))
+    rows = messages.withColumn("_run", F.sum(F.when(top.isNull() | (F.col("resolved_ts") > top), 1).otherwise(0)).over(by_region))
+    within = Window.partitionBy("region_id", "_run").orderBy("seq")
+    last = F.max("event_time").over(within.rowsBetween(Window.unboundedPreceding, -1))
+    rows = rows.withColumn("_counts", F.coalesce((F.col("event_time") > last).cast("long"), F.lit(0)))
+    return rows.withColumn("penalty", F.sum("_counts").over(within)).drop("_run", "_counts")
+
+
+def lock_sweep(regions: DataFrame, now: int, least_lag: int = 20_000, penalty: int = 10, reconnect: int = 2_400_000, most: int = 64) -> DataFrame:
+    """What a sweep does about the ``most`` regions that lag longest (a top-k report), by ``action``.
+
+    ``regions`` has region_id, resolved_ts, event_time and penalty; times are milliseconds. ``reconnect`` if neither timestamp nor
+    event has moved for so long, ``resolve`` the locks from so many penalties on, else ``wait``.
+    """
+    late = lambda name: clamped_minus(F.lit(now), F.col(name))
+    top = regions.where(late("resolved_ts") >= least_lag).orderBy("resolved_ts", "region_id").limit(most)
+    action = F.when((late("resolved_ts") > reconnect) & (late("event_time") > reconnect), "reconnect").when(F.col("penalty") >= penalty, "resolve").otherwise("wait")
+    return top.withColumn("action", action)
+
+
 def stuck(advances: DataFrame, least_gap: int) -> DataFrame:
     """The rises of the frontier that came after a gap of more than ``least_gap`` ticks."""
     return advances.where(F.col("ticks_since") > least_gap)

@@ -18,6 +18,11 @@ def accept_resolved(messages: DataFrame, regions: DataFrame) -> DataFrame:
     return both.select("region_id", F.when(F.col("accepted"), F.col("resolved_ts")).otherwise(F.col("last_ts")).alias("resolved_ts"), "accepted")
 
 
+def fan_out(messages: DataFrame) -> DataFrame:
+    """Messages of (tick, resolved_ts, regions), each for many regions, as a row a region; regions named twice count once."""
+    return messages.select("tick", F.explode(F.array_distinct("regions")).alias("region_id"), "resolved_ts")
+
+
 def resolved_progress(resolved: DataFrame) -> DataFrame:
     """Each message with the greatest timestamp that its region had before and has now, by tick."""
     by_region = Window.partitionBy("region_id").orderBy("tick")

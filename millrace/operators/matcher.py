@@ -6,17 +6,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.scalar import operate_type, present
-from millrace.model import COMMIT, COMMITTED, INITIALIZED, PREWRITE, ROLLBACK
+from millrace.model import COMMIT, COMMITTED, INITIALIZED, MARKS, PREWRITE, ROLLBACK
 
 KEYS = ["region_id", "start_ts", "key"]
 
 
 def in_range(log: DataFrame, regions: DataFrame) -> DataFrame:
-    """Rows whose key lies in their region's range; initialisation marks pass. Null bounds are open, as is an empty end."""
+    """Rows whose key lies in their region's range; marks without a key pass. Null bounds are open, as is an empty end."""
     bounds = regions.select("region_id", F.col("start_key").alias("_from"), F.col("end_key").alias("_to"))
     after = F.col("_from").isNull() | (F.col("key") >= F.col("_from"))
     before = ~present(F.col("_to")) | (F.col("key") < F.col("_to"))
-    return log.join(bounds, "region_id").where((F.col("log_type") == INITIALIZED) | (after & before)).drop("_from", "_to")
+    return log.join(bounds, "region_id").where(F.col("log_type").isin(INITIALIZED, *MARKS) | (after & before)).drop("_from", "_to")
 
 
 def fresh_requests(log: DataFrame) -> DataFrame:
@@ -75,24 +75,38 @@ def not_rolled_back(pairs: DataFrame, log: DataFrame) -> DataFrame:
 
 
 def matched(log: DataFrame) -> DataFrame:
-    """One change a commit: of its pairs, the one that is emitted first, a prewrite with a value before one without."""
+    """One change a commit, however often it was sent: of its pairs, the one that is emitted first.
+
+    Of several prewrites that wait for it, the last one with a value has taken the place of those before; one
+    without a value takes no place that is taken, so of these the first counts.
+    """
     pairs = not_rolled_back(candidates(log), log).where("case is not null")
-    first = Window.partitionBy(*KEYS, "commit_seq").orderBy("emit_seq", "fake", "prewrite_seq")
+    latest = F.when(F.col("fake"), F.col("prewrite_seq")).otherwise(-F.col("prewrite_seq"))
+    first = Window.partitionBy(*KEYS, "commit_ts").orderBy("emit_seq", "fake", latest, "commit_seq")
     return pairs.withColumn("_nth", F.row_number().over(first)).where("_nth = 1").drop("_nth")
 
 
 _CHANGE = ["emit_seq", "region_id", "key", "start_ts", "commit_ts", "op_type", "new_value", "old_value"]
 
 
-def changes(log: DataFrame, regions: DataFrame) -> DataFrame:
+def echoes(pairs: DataFrame) -> DataFrame:
+    """The prewrites of matches whose commit came first (cases C and E), as events of their own: commit_ts is 0."""
+    return pairs.where(F.col("case").isin("C", "E")).withColumn("commit_ts", F.lit(0).cast("long"))
+
+
+def changes(log: DataFrame, regions: DataFrame, include_prewrite_echo: bool = False) -> DataFrame:
     """The changelog: matched commits and rows that came committed, typed by operation.
 
     A delete's prewrite has no value, so before initialisation it waits for it as a fake one does.
-    Each commit is emitted once; prewrites are not echoed.
+    Each commit is emitted once. With ``include_prewrite_echo`` a commit that came before its prewrite is
+    preceded by that prewrite.
     """
     rows = in_range(log, regions)
     direct = rows.where(F.col("log_type") == COMMITTED).withColumn("emit_seq", F.col("seq"))
-    both = matched(rows).select(*_CHANGE).unionByName(direct.select(*_CHANGE))
+    pairs = matched(rows)
+    both = pairs.select(*_CHANGE).unionByName(direct.select(*_CHANGE))
+    if include_prewrite_echo:
+        both = both.unionByName(echoes(pairs).select(*_CHANGE))
     return both.withColumn("operate_type", operate_type(F.col("op_type"), F.col("old_value")))
 
 

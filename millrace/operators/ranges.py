@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.scalar import present
-from millrace.model import ClientError
+from millrace.model import REGION_ERRORS, ClientError
 
 
 def compare_starts(a: Column, b: Column) -> Column:
@@ -78,6 +78,34 @@ def redivided(old: DataFrame, current: DataFrame) -> DataFrame:
     return old.join(now, "region_id").where((F.col("conf_ver") != F.col("new_conf_ver")) | (F.col("version") != F.col("new_version")))
 
 
+def sorted_regions(regions: DataFrame) -> DataFrame:
+    return regions.orderBy("region_id")
+
+
+def recovered(errors: DataFrame, current: DataFrame) -> DataFrame:
+    """What becomes of regions in error: (error_id, action, region_id, start_key, end_key, restart_ts).
+
+    ``errors`` has error_id (the region), error, conf_ver, version, start_key, end_key and resolved_ts, ``current`` has region_id,
+    conf_ver, version, start_key, end_key and resolved_ts. A lost leader of a region whose epoch still is the same
+    is looked up again (``relocate``). A changed epoch means that the region was split or merged: its range is divided along
+    the current regions (``redivide``), which all start from the least of the known timestamps.
+    Other errors fail the query.
+    """
+    names = F.create_map(*[F.lit(x) for pair in REGION_ERRORS.items() for x in pair])
+    known = F.coalesce(F.try_element_at(names, F.col("error")), F.lit("fail"))
+    failed = F.raise_error(F.concat(F.lit("region "), F.col("error_id").cast("string"), F.lit(": "), F.col("error"))).cast("string")
+    now = current.select(F.col("region_id").alias("error_id"), F.col("conf_ver").alias("_conf_ver"), F.col("version").alias("_version"))
+    same = F.coalesce((F.col("conf_ver") == F.col("_conf_ver")) & (F.col("version") == F.col("_version")), F.lit(False))
+    action = F.when(known == "fail", failed).when((known == "relocate") & same, "relocate").otherwise("redivide")
+    rows = errors.join(now, "error_id", "left").withColumn("action", action)
+    stay = rows.where("action = 'relocate'").select("error_id", "action", F.col("error_id").alias("region_id"), "start_key", "end_key", F.col("resolved_ts").alias("restart_ts"))
+    parts = divide(rows.where("action = 'redivide'").withColumnRenamed("error_id", "span_id"), current).drop("resolved_ts").withColumnRenamed("span_id", "error_id")
+    parts = parts.join(current.select("region_id", "resolved_ts"), "region_id")
+    least = restart_ts(errors.select("error_id", "resolved_ts"), parts.select("error_id", "region_id", "resolved_ts"))
+    found = parts.drop("resolved_ts").join(least, ["error_id", "region_id"]).withColumn("action", F.lit("redivide"))
+    return stay.unionByName(found.select(*stay.columns))
+
+
 def restart_ts(errors: DataFrame, divided: DataFrame) -> DataFrame:
     """For each region in error, the regions that its range now has, all from the least of the known timestamps.
 

@@ -27,6 +27,12 @@ log as (
   select case when e % 11 = 0 then 16 * e - 3 else 16 * e + 10 end, space + 1 + (case when e % 23 = 0 then 1 else 0 end), 'COMMIT', op, key,
          10 * e + 1, 10 * e + 3 + e % 5, null, null from t where e % 17 <> 0 and (e % 7 <> 0 or e % 14 = 0)
   union all
+  select 16 * e + 7, space + 1 + (case when e % 23 = 0 then 1 else 0 end), 'PREWRITE', op, key, 10 * e + 1, 0, new + 1, old
+  from t where e % 17 <> 0 and e % 29 = 0 and e % 7 <> 0 and new is not null
+  union all
+  select 16 * e + 12, space + 1 + (case when e % 23 = 0 then 1 else 0 end), 'COMMIT', op, key, 10 * e + 1, 10 * e + 3 + e % 5, null, null
+  from t where e % 17 <> 0 and e % 19 = 0 and (e % 7 <> 0 or e % 14 = 0)
+  union all
   select 16 * e + 6, space + 1, 'ROLLBACK', 'UNKNOWN', key, 10 * e + 1, 0, null, null from t where e % 7 = 0 and e % 17 <> 0
   union all
   select 16 * e + 10, space + 1, 'COMMITTED', op, key, 10 * e + 1, 10 * e + 3 + e % 5, new, old from t where e % 17 = 0
@@ -60,7 +66,7 @@ alive as (
       and ((r.seq > i and r.seq > p and r.seq < c) or (p < i and r.seq < i))))
 ),
 matched as (
-  select * from alive qualify row_number() over (partition by region_id, start_ts, key, c order by emit_seq, fake, p) = 1
+  select * from alive qualify row_number() over (partition by region_id, start_ts, key, commit_ts order by emit_seq, fake, case when fake then p else -p end, c) = 1
 ),
 changes as (
   select *, case when op_type = 'PUT' and old_value is not null then 'Update' when op_type = 'PUT' then 'Insert' when op_type = 'DELETE' then 'Delete' else 'Unknown' end as operate_type
@@ -102,19 +108,20 @@ divided as (
 
 _FORWARDS = """,
 forwards as (
-  select tick * 100000 + region_id as seq, start_key, end_key, resolved_ts as ts from resolved join regions using (region_id) where tick < 6
+  select tick * 100000 + region_id as seq, start_key, end_key, resolved_ts as ts from resolved join regions using (region_id)
   union all select 0, '', '~', 0
 ),
-bounds as (select key, max(seq) as made from (select start_key as key, seq from forwards union all select end_key, seq from forwards) group by key),
-stay as (select key from bounds b where not exists (select 1 from forwards f where f.seq > b.made and f.start_key < b.key and b.key < f.end_key)),
+lasts as (select start_key, end_key, arg_max(ts, seq) as ts, max(seq) as seq from forwards group by start_key, end_key),
+bounds as (select key, max(seq) as made from (select start_key as key, seq from lasts union all select end_key, seq from lasts) group by key),
+stay as (select key from bounds b where not exists (select 1 from lasts f where f.seq > b.made and f.start_key < b.key and b.key < f.end_key)),
 segments as (
   select s.key as start_key, coalesce(arg_max(f.ts, f.seq), 9223372036854775807) as ts
-  from stay s left join forwards f on f.start_key <= s.key and s.key < f.end_key group by s.key
+  from stay s left join lasts f on f.start_key <= s.key and s.key < f.end_key group by s.key
 )"""
 
 
 def _with(ctes: str, body: str) -> str:
-    return f"with {ctes.strip()}\n{body.strip()}"
+    return f"with {ctes.strip()}{body.strip() if body.lstrip().startswith(chr(44)) else chr(10) + body.strip()}"
 
 
 def _cases(*cases: str) -> str:
@@ -254,6 +261,45 @@ ORACLES: dict[str, str] = {
         """select seq, region_id, log_type, cast(greatest(-9223372036854775808::hugeint, least(9223372036854775807::hugeint,
           (case when start_ts % 3 = 0 then -9223372036854775808::hugeint + start_ts else start_ts::hugeint end) - start_ts::hugeint * 2)) as bigint) as difference from log""",
     ),
+    "prewrite_echo": _with(_RANGED, """select emit_seq, region_id, key, start_ts, new_value from matched where "case" in ('C', 'E')"""),
+    "entry_copy": _with(_LOG, "select seq, region_id, log_type, op_type, key, start_ts, commit_ts from log"),
+    "table_key_range": _with(
+        _TRANSACTIONS,
+        "select region_id, '748' || lpad(hex(region_id), 15, '0') || '5F72' as start_key, '748' || lpad(hex(region_id), 15, '0') || '5F73' as end_key from regions",
+    ),
+    "table_columns": "select cast(row_number() over () - 1 as integer) as position, column_name as name from (describe select * from events)",
+    "key_columns_by_place": """select cast(row_number() over (order by nth) - 1 as integer) as position, column_name as name
+        from (select row_number() over () as nth, column_name from (describe select * from lineitem)) where column_name in ('l_orderkey', 'l_linenumber')""",
+    "id_allocation": _with(_LOG, "select count(*) as entries, count(*) as ids, cast(1 as bigint) as least, count(*) as greatest from log"),
+    "resolved_fan_out": _with(_RESOLVED, "select tick, region_id, cast(35000 as bigint) as resolved_ts from resolved"),
+    "penalty_by_event_time": _with(
+        _RESOLVED,
+        """, runs as (
+          select *, tick * 10 - (case when tick % 3 = 0 then 25 else 0 end) as event_time,
+                 sum(case when before is null or resolved_ts > before then 1 else 0 end) over (partition by region_id order by tick) as run from progress
+        ), counted as (
+          select *, case when event_time > max(event_time) over (partition by region_id, run order by tick rows between unbounded preceding and 1 preceding) then 1 else 0 end as one from runs
+        )
+        select region_id, tick as seq, resolved_ts, event_time, cast(sum(one) over (partition by region_id, run order by tick) as bigint) as penalty from counted""",
+    ),
+    "lock_sweep": _with(
+        _RESOLVED,
+        """select *, case when 2500000 - resolved_ts > 2400000 and 2500000 - event_time > 2400000 then 'reconnect' when penalty >= 10 then 'resolve' else 'wait' end as action
+        from (select region_id, max(resolved_ts) as resolved_ts, region_id * 1000 as event_time, region_id % 20 as penalty from resolved group by region_id)
+        where 2500000 - resolved_ts >= 20000 order by resolved_ts, region_id limit 64""",
+    ),
+    "sorted_regions": _with(_TRANSACTIONS, "select * from regions order by region_id"),
+    "region_recovery": _with(
+        _RESOLVED + _SPANS,
+        """, last as (select region_id, min(resolved_ts) as ts from resolved group by region_id),
+        moved as (select region_id, region_id % 2 = 0 and region_id % 5 <> 0 and region_id % 4 <> 0 as stays from regions),
+        parts as (select d.*, l.ts from divided d join last l using (region_id) join moved m on m.region_id = d.span_id where not m.stays)
+        select p.span_id as error_id, 'redivide' as action, p.region_id, p.start_key, p.end_key, least(l.ts, f.ts) as restart_ts
+        from parts p join last l on l.region_id = p.span_id join (select span_id, arg_min(ts, region_id) as ts from parts group by span_id) f on f.span_id = p.span_id
+        union all
+        select s.span_id, 'relocate', s.span_id, s.start_key, s.end_key, l.ts from spans s join moved m on m.region_id = s.span_id join last l on l.region_id = s.span_id where m.stays""",
+    ),
+    "time_since_event": "select event_id, cast(floor((epoch_us(timestamp '2030-01-01 00:00:00') - epoch_us(ts)) / 1000) as bigint) as ms from events",
     "packed_datetime_decode": "select event_id, regexp_replace(regexp_replace(strftime(ts, '%Y-%m-%d %H:%M:%S.%f'), '0+$', ''), '\\.$', '') as at from events",
     "pk_string_decode": _with(_LOG, "select seq, key as pk from log where log_type = 'COMMIT'"),
     "memcomparable_hex": _with(

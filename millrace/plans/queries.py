@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import codecs, scalar
 from millrace.operators import delivery, diagnostics, frontier, matcher, ranges
-from millrace.sources import derived
+from millrace.sources import derived, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -129,11 +129,9 @@ def frontier_advances(spark, sf_dir):
     return frontier.advances(frontier.region_frontier(resolved(spark, sf_dir)))
 
 
-def forwards(spark, sf_dir, ticks=None):
-    """Every region's progress (in the first ``ticks``, if given) as assignments to its range, after an initial span over all keys."""
+def forwards(spark, sf_dir):
+    """Every region's progress as assignments to its range, after an initial span over all keys."""
     rows = resolved(spark, sf_dir).join(derived.key_regions(spark, sf_dir), "region_id")
-    if ticks is not None:
-        rows = rows.where(F.col("tick") < ticks)
     steps = rows.select((F.col("tick") * 100_000 + F.col("region_id")).alias("seq"), "start_key", "end_key", F.col("resolved_ts").alias("ts"))
     whole = spark.range(1).select(F.lit(0).cast("long").alias("seq"), F.lit("").alias("start_key"), F.lit("~").alias("end_key"), F.lit(0).cast("long").alias("ts"))
     return steps.unionByName(whole)
@@ -141,21 +139,11 @@ def forwards(spark, sf_dir, ticks=None):
 
 @query
 def frontier_segments(spark, sf_dir):
-    return frontier.segments(forwards(spark, sf_dir, 6))
-
-
-@query
-def frontier_segments_whole(spark, sf_dir):
     return frontier.segments(forwards(spark, sf_dir))
 
 
 @query
 def slowest_range(spark, sf_dir):
-    return frontier.slowest(frontier.segments(forwards(spark, sf_dir, 6)).where("start_key <> ''"))
-
-
-@query
-def slowest_range_whole(spark, sf_dir):
     return frontier.slowest(frontier.segments(forwards(spark, sf_dir)).where("start_key <> ''"))
 
 
@@ -331,6 +319,83 @@ def clamped_difference(spark, sf_dir):
     return log(spark, sf_dir).select("seq", "region_id", "log_type", scalar.clamped_minus(ts, F.col("start_ts") * 2).alias("difference"))
 
 
+@query
+def prewrite_echo(spark, sf_dir):
+    found = matcher.changes(log(spark, sf_dir), derived.key_regions(spark, sf_dir), include_prewrite_echo=True)
+    return found.where("commit_ts = 0").select("emit_seq", "region_id", "key", "start_ts", "new_value")
+
+
+@query
+def entry_copy(spark, sf_dir):
+    named = log(spark, sf_dir).withColumns({"db_name": F.lit("db"), "table_name": F.lit("events"), "table_info": F.lit("{}")})
+    return delivery.copied(named).drop("new_value", "old_value")
+
+
+@query
+def table_key_range(spark, sf_dir):
+    start, end = codecs.table_range(F.col("region_id"))
+    return derived.key_regions(spark, sf_dir).select("region_id", F.hex(start).alias("start_key"), F.hex(end).alias("end_key"))
+
+
+@query
+def table_columns(spark, sf_dir):
+    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
+    return tables.described(spark, schema).select("position", "name")
+
+
+@query
+def key_columns_by_place(spark, sf_dir):
+    schema = spark.read.parquet(f"{sf_dir}/lineitem.parquet").schema
+    names = [f.name for f in tables.key_columns(schema, {"l_linenumber", "l_orderkey"})]
+    return spark.createDataFrame(list(enumerate(names)), "position int, name string")
+
+
+@query
+def id_allocation(spark, sf_dir):
+    ids = scalar.with_ids(log(spark, sf_dir).select("seq", "region_id"))
+    return ids.agg(F.count("*").alias("entries"), F.countDistinct("id").alias("ids"), F.min("id").alias("least"), F.max("id").alias("greatest"))
+
+
+@query
+def resolved_fan_out(spark, sf_dir):
+    messages = resolved(spark, sf_dir).groupBy("tick", F.lit(5000 * 7).cast("long").alias("resolved_ts")).agg(F.collect_list("region_id").alias("regions"))
+    return frontier.fan_out(messages)
+
+
+@query
+def penalty_by_event_time(spark, sf_dir):
+    rows = resolved(spark, sf_dir).withColumns({"seq": F.col("tick"), "event_time": F.col("tick") * 10 - F.when(F.col("tick") % 3 == 0, 25).otherwise(0)})
+    return diagnostics.penalties(rows).select("region_id", "seq", "resolved_ts", "event_time", "penalty")
+
+
+@query
+def lock_sweep(spark, sf_dir):
+    last = resolved(spark, sf_dir).groupBy("region_id").agg(F.max("resolved_ts").alias("resolved_ts"))
+    rows = last.withColumns({"event_time": F.col("region_id") * 1000, "penalty": F.col("region_id") % 20})
+    return diagnostics.lock_sweep(rows, 2_500_000, reconnect=2_400_000)
+
+
+@query
+def sorted_regions(spark, sf_dir):
+    return ranges.sorted_regions(derived.key_regions(spark, sf_dir))
+
+
+@query
+def region_recovery(spark, sf_dir):
+    old, now = epochs(spark, sf_dir)
+    last = resolved(spark, sf_dir).groupBy("region_id").agg(F.min("resolved_ts").alias("resolved_ts"))
+    spans_, bounds = spans(spark, sf_dir).withColumnRenamed("span_id", "region_id"), derived.key_regions(spark, sf_dir)
+    kind = F.when(F.col("region_id") % 2 == 0, "NotLeader").otherwise("EpochNotMatch")
+    errors = old.join(spans_, "region_id").join(last, "region_id").withColumn("error", kind).withColumnRenamed("region_id", "error_id")
+    return ranges.recovered(errors, now.join(bounds, "region_id").join(last, "region_id"))
+
+
+@query
+def time_since_event(spark, sf_dir):
+    e = spark.read.parquet(f"{sf_dir}/events.parquet")
+    return e.select("event_id", scalar.time_since(F.col("ts"), F.to_timestamp_ntz(F.lit("2030-01-01 00:00:00"))).cast("long").alias("ms"))
+
+
 @query
 def packed_datetime_decode(spark, sf_dir):
     packed = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", codecs.pack_datetime(F.col("ts")).alias("packed"))

@@ -2,7 +2,7 @@
 
 Users are keys and twenty users in a row a region. Each event is a transaction on its user's key, with
 all kinds of order: early commits, rollbacks, entries under the wrong region, placeholders before
-initialisation. All constants are fixed values of this derivation.
+initialisation, commits that are sent again and prewrites that are sent again with another value. All constants are fixed values of this derivation.
 """
 
 from __future__ import annotations
@@ -55,6 +55,8 @@ def change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         entry(two_phase, e * 16 + 4, sent, PREWRITE, op, zero, new, old),
         entry(two_phase & (e % 13 == 0) & (e < 196), e * 16 + 1, home, PREWRITE, op, zero, none, old),
         entry(two_phase & ((e % 7 != 0) | (e % 14 == 0)), F.when(e % 11 == 0, e * 16 - 3).otherwise(e * 16 + 10), sent, COMMIT, op, commit_ts, none, none),
+        entry(two_phase & (e % 29 == 0) & (e % 7 != 0) & new.isNotNull(), e * 16 + 7, sent, PREWRITE, op, zero, new + 1, old),
+        entry(two_phase & (e % 19 == 0) & ((e % 7 != 0) | (e % 14 == 0)), e * 16 + 12, sent, COMMIT, op, commit_ts, none, none),
         entry(two_phase & (e % 7 == 0), e * 16 + 6, home, ROLLBACK, F.lit("UNKNOWN"), zero, none, none),
         entry(~two_phase, e * 16 + 10, home, COMMITTED, op, commit_ts, new, old),
     )

@@ -12,7 +12,7 @@ import json
 import time
 from collections.abc import Callable, Iterator
 
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
 from millrace.functions.scalar import is_retryable, retry_delay
 from millrace.model import ClientError
@@ -97,3 +97,70 @@ class _Reader(DataSourceReader):
         pages = retried(getattr(importlib.import_module(module), factory)(partition))
         for key, value in paged_scan(pages, partition.start, partition.end, self.page, int(self.limit) if self.limit else None):
             yield partition.region_id, key, value
+
+
+class FeedPartition(InputPartition):
+    def __init__(self, region_id: int, after: int, upto: int) -> None:
+        super().__init__(region_id)
+        self.region_id, self.after, self.upto = region_id, after, upto
+
+
+class ChangeFeedSource(DataSource):
+    """A change log as a stream, a partition a region, resumed by offsets (a timestamp a region).
+
+    The transport is the user's, named ``module:factory`` in the option ``feed``; ``factory(options)`` makes an object with
+    ``regions()``, a map from region to the (timestamp, bytes) of its entries that are ready and have not been admitted (given
+    the offsets so far: ``ready(region, after)`` in order), and ``entries(region, after, upto)``, rows of the log's schema
+    with a timestamp in that range, which can be read again after a restart. ``start_ts`` says where new
+    queries begin, less ``rewind``; ``rate_kb`` is the most that a micro-batch admits over all regions (one timestamp a
+    region at least), which holds back both state and memory.
+    """
+
+    @classmethod
+    def name(cls) -> str:
+        return "changefeed"
+
+    def schema(self) -> str:
+        return "seq long, region_id long, log_type string, op_type string, key string, start_ts long, commit_ts long, new_value string, old_value string"
+
+    def streamReader(self, schema) -> DataSourceStreamReader:  # noqa: N802
+        return _FeedReader(self.options)
+
+
+class _FeedReader(DataSourceStreamReader):
+    def __init__(self, options) -> None:
+        self.options = dict(options)
+        module, _, factory = options["feed"].partition(":")
+        self.feed = getattr(importlib.import_module(module), factory)(self.options)
+        self.start = int(options.get("start_ts", 0)) - int(options.get("rewind", 0))
+        self.most = int(options.get("rate_kb", 20_000)) << 10
+        self.now: dict[str, int] = {}
+
+    def initialOffset(self) -> dict:  # noqa: N802
+        return {str(r): self.start for r in self.feed.regions()}
+
+    def latestOffset(self) -> dict:  # noqa: N802
+        """The last offset and, in turn for each region, as many timestamps more as the rate admits."""
+        found = self.now or self.initialOffset()
+        regions = sorted(self.feed.regions())
+        share, upto = self.most // max(len(regions), 1), dict(found)
+        for region in regions:
+            after, size = found.get(str(region), self.start), 0
+            upto[str(region)] = after
+            for ts, n in self.feed.ready(region, after):
+                if size and size + n > share and ts != upto[str(region)]:
+                    break
+                upto[str(region)], size = ts, size + n
+        self.now = upto
+        return upto
+
+    def partitions(self, start: dict, end: dict) -> list[FeedPartition]:
+        self.now = {**self.now, **{r: max(ts, self.now.get(r, ts)) for r, ts in end.items()}}
+        found = [(int(r), start.get(r, self.start), ts) for r, ts in end.items()]
+        return [FeedPartition(r, a, b) for r, a, b in sorted(found) if b > a]
+
+    def read(self, partition: FeedPartition) -> Iterator[tuple]:
+        yield from self.feed.entries(partition.region_id, partition.after, partition.upto)
+
+    def commit(self, end: dict) -> None:
+        pass

@@ -57,6 +57,42 @@ def stream_frontier(resolved: DataFrame, regions: int) -> DataFrame:
     return rows.groupBy("all").transformWithState(Frontier(regions), _FRONTIER, outputMode="Append", timeMode="None")
 
 
+class LateFilter(StatefulProcessor):
+    """Passes the changes above the frontier as of their place; its key is a bucket of regions, each of which sees every rise."""
+
+    def __init__(self, names: list[str]) -> None:
+        self.names = names
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.frontier = handle.getValueState("frontier", T.StructType().add("ts", "long"))
+
+    def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues) -> Iterator[Row]:  # noqa: N802, N803
+        now = self.frontier.get()[0] if self.frontier.exists() else -1
+        for r in sorted(rows, key=lambda r: (r.at, r.rise is None)):
+            if r.rise is not None:
+                now = max(now, r.rise)
+            elif r.change["commit_ts"] > now:
+                yield Row(**{n: r.change[n] for n in self.names}, frontier_ts=now)
+        self.frontier.update((now,))
+
+    def close(self) -> None:
+        pass
+
+
+def stream_late_filter(changes: DataFrame, rises: DataFrame, buckets: int = 64) -> DataFrame:
+    """The streamed ``changes`` that are above the frontier as of their emit_seq, with it as ``frontier_ts``.
+
+    ``rises`` is a stream of (from_seq, resolved_ts). Changes are dealt by region over ``buckets`` keys; the rises, a few
+    rows, go to each of them. A rise counts for the changes of its micro-batch and later ones. No column of the changes may be named
+    frontier_ts.
+    """
+    row = F.struct(*[F.col(f"`{c}`") for c in changes.columns])
+    one = changes.select(F.pmod(F.hash("region_id"), F.lit(buckets)).alias("bucket"), F.col("emit_seq").alias("at"), F.lit(None).cast("long").alias("rise"), row.alias("change"))
+    many = rises.select(F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))).alias("bucket"), F.col("from_seq").alias("at"), F.col("resolved_ts").alias("rise"), F.lit(None).cast(one.schema["change"].dataType).alias("change"))
+    schema = T.StructType([*changes.schema.fields]).add("frontier_ts", "long")
+    return one.unionByName(many).groupBy("bucket").transformWithState(LateFilter(changes.columns), schema, outputMode="Append", timeMode="None")
+
+
 class StandstillListener(StreamingQueryListener):
     """Calls ``report(query_name, seconds)`` when a query has put out nothing for longer than ``limit`` seconds."""
 

@@ -5,18 +5,41 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from millrace.operators.matcher import ordered
 
 Listener = Callable[[DataFrame, int], None]
 
 
+class Closing(StreamingQueryListener):
+    """Calls ``close(error)`` of those listeners that have it once their query has ended; the error is None after a stop."""
+
+    def __init__(self, listeners: Iterable[Listener]) -> None:
+        self.listeners, self.run = list(listeners), ""
+
+    def onQueryStarted(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryProgress(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryIdle(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryTerminated(self, event) -> None:  # noqa: N802
+        if str(event.runId) == self.run:
+            for listener in self.listeners:
+                if hasattr(listener, "close"):
+                    listener.close(event.exception)
+
+
 def deliver(changes: DataFrame, listeners: Iterable[Listener], checkpoint: str, available_now: bool = False) -> StreamingQuery:
     """Start a query that hands each micro-batch, in order of commit, to every listener.
 
     The batch number lets a listener skip what it has seen before a restart. The query ends with the
-    first error of a listener, which ``awaitTermination`` raises.
+    first error of a listener, which ``awaitTermination`` raises. Listeners with a method ``close`` get the error's
+    text, or None, when the query has ended.
     """
     listeners = list(listeners)
 
@@ -29,4 +52,8 @@ def deliver(changes: DataFrame, listeners: Iterable[Listener], checkpoint: str,
             rows.unpersist()
 
     writer = changes.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
-    return (writer.trigger(availableNow=True) if available_now else writer).start()
+    closing = Closing(listeners)
+    changes.sparkSession.streams.addListener(closing)
+    query = (writer.trigger(availableNow=True) if available_now else writer).start()
+    closing.run = str(query.runId)
+    return query

@@ -2,11 +2,17 @@ import json
 import random
 
 import pytest
+from pyspark.sql import functions as F
 from scan_pages import factory
 
+from millrace.functions import codecs
 from millrace.functions.scalar import is_retryable, retry_delay
-from millrace.model import ClientError
-from millrace.sources.scan import KeyRangeSource, paged_scan, retried
+from millrace.model import ClientError, Options
+from millrace.operators.delivery import oversize
+from millrace.operators.ranges import recovered
+from millrace.sources.files import read_log, stream_log, write_changes
+from millrace.sources.scan import ChangeFeedSource, KeyRangeSource, paged_scan, retried
+from millrace.sources.tables import described, key_columns
 
 
 def test_paged_scan_crosses_regions_and_stops_at_end():
@@ -57,3 +63,70 @@ def test_key_range_source(spark):
     df = spark.read.format("keyrange").option("pages", "scan_pages:factory").option("regions", regions).option("page_size", 9).load()
     assert df.rdd.getNumPartitions() == 2
     assert sorted(bytes(r.key) for r in df.collect()) == [f"k{i:03d}".encode() for i in range(100)]
+
+
+def test_change_feed_admits_and_resumes(spark, tmp_path):
+    spark.dataSource.register(ChangeFeedSource)
+    rows, sizes = tmp_path / "rows", []
+
+    def run(count):
+        rows.write_text("".join(f"{i % 2 + 1} {i} {i}\n" for i in range(1, count)))
+        stream = spark.readStream.format("changefeed").options(feed="feed_rows:factory", rows=str(rows), rate_kb=4, start_ts=2, rewind=1).load()
+        query = stream.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "ck")).start()
+        query.processAllAvailable()
+        sizes.extend(p["numInputRows"] for p in query.recentProgress)
+        query.stop()
+
+    run(13)
+    run(20)
+    got = sorted(r.seq for r in spark.read.parquet(str(tmp_path / "out")).collect())
+    assert got == list(range(2, 20)) and max(sizes) == 4
+
+
+def test_read_log_and_options(spark, tmp_path):
+    log = spark.createDataFrame([(1, 0), (2, 50), (3, 90), (4, 200)], "seq long, commit_ts long")
+    write_changes(log, str(tmp_path / "log"))
+    assert sorted(r.seq for r in read_log(spark, str(tmp_path / "log"), 100, 150, Options(rewind=20)).collect()) == [1, 3]
+    assert stream_log(spark, str(tmp_path / "log"), log.schema, 1).isStreaming
+
+
+def test_table_metadata(spark):
+    schema = spark.createDataFrame([], "b int, a string, c long").schema
+    assert [f.name for f in key_columns(schema, {"a", "b"})] == ["b", "a"]
+    with pytest.raises(ValueError):
+        key_columns(schema, {"x"})
+    assert [tuple(r) for r in described(spark, schema).collect()][1] == (1, "a", "string", True)
+
+
+def test_literal_packed_datetimes(spark):
+    # 2021-03-04 05:06:07.000008, the zero date, and the last microsecond of 9999.
+    packed = [(((2021 * 13 + 3) << 5 | 4) << 17 | 5 << 12 | 6 << 6 | 7) << 24 | 8, 0, (((9999 * 13 + 12) << 5 | 31) << 17 | 23 << 12 | 59 << 6 | 59) << 24 | 999_999]
+    df = spark.createDataFrame([(i, p) for i, p in enumerate(packed)], "i int, p long")
+    got = [r.t for r in df.select("i", codecs.packed_datetime(F.col("p")).cast("string").alias("t")).orderBy("i").collect()]
+    assert got == ["2021-03-04 05:06:07.000008", "0001-01-01 00:00:00", "9999-12-31 23:59:59.999999"]
+
+
+def test_table_ranges_order_like_ids(spark):
+    df = spark.createDataFrame([(i,) for i in (-5, 0, 7, 1 << 40)], "id long")
+    start, end = codecs.table_range(F.col("id"))
+    got = [(bytes(r.a), bytes(r.b)) for r in df.select(start.alias("a"), end.alias("b")).collect()]
+    flat = [x for pair in got for x in pair]
+    assert flat == sorted(flat) and got[2] == (b"t\x80" + bytes(6) + b"\x07_r", b"t\x80" + bytes(6) + b"\x07_s")
+
+
+def test_region_errors(spark):
+    errors = spark.createDataFrame([(1, "RegionNotFound", 1, 1, "a", "b", 5)], "error_id long, error string, conf_ver long, version long, start_key string, end_key string, resolved_ts long")
+    current = spark.createDataFrame([(1, 1, 1, "a", "b", 5)], "region_id long, conf_ver long, version long, start_key string, end_key string, resolved_ts long")
+    with pytest.raises(Exception, match="RegionNotFound"):
+        recovered(errors, current).collect()
+    moved = errors.withColumn("error", F.lit("NotLeader"))
+    assert [(r.action, r.region_id, r.restart_ts) for r in recovered(moved, current).collect()] == [("relocate", 1, 5)]
+    split = spark.createDataFrame([(1, 1, 2, "a", "am", 9), (8, 1, 2, "am", "b", 3)], current.schema)
+    got = sorted((r.action, r.region_id, r.start_key, r.end_key, r.restart_ts) for r in recovered(moved, split).collect())
+    assert got == [("redivide", 1, "a", "am", 5), ("redivide", 8, "am", "b", 5)]
+
+
+def test_sizes_are_bytes(spark):
+    df = spark.createDataFrame([("é", "ab", None)], "key string, new_value string, old_value string")
+    r = oversize(df, Options(max_row_bytes=3)).first()
+    assert (r.row_bytes, r.oversize) == (4, True)
