@@ -58,9 +58,14 @@ def _link_block(threshold: float, shared: int):
         near = table.column("near").combine_chunks().flatten().to_numpy().reshape(len(ids), -1)
         left, right = np.flatnonzero(chunk == one), np.flatnonzero(chunk == two)
         found = []
+        # Retrieval: how many pivots two descriptions share, from the lists that they are in.
+        _, column = np.unique(near, return_inverse=True)
+        column = column.reshape(near.shape)
+        filed = np.zeros((len(ids), int(column.max(initial=-1)) + 1), np.float32)
+        filed[np.arange(len(ids))[:, None], column] = 1
         for at in range(0, len(left), 512):
             rows = left[at : at + 512]
-            i, j = np.nonzero(unit[rows] @ unit[right].T >= threshold - 1e-9)
+            i, j = np.nonzero(filed[rows] @ filed[right].T >= min(shared, near.shape[1]))
             i, j = rows[i], right[j]
             keep = ids[i] < ids[j] if one == two else slice(None)
             found.append(np.stack([i[keep], j[keep]]))
@@ -68,10 +73,12 @@ def _link_block(threshold: float, shared: int):
         keep = []
         for at in range(0, len(i), 1 << 16):
             x, y = i[at : at + (1 << 16)], j[at : at + (1 << 16)]
-            same = (near[x][:, :, None] == near[y][:, None, :]).any(axis=2)
-            owner = np.where(same, near[x], np.iinfo(np.int32).max).min(axis=1)
-            exact = np.einsum("ij,ij->i", unit[x], unit[y]) >= threshold
-            keep.append((same.sum(axis=1) >= shared) & (owner == pivot) & exact)
+            exact = np.flatnonzero(np.einsum("ij,ij->i", unit[x], unit[y]) >= threshold)
+            same = (near[x[exact]][:, :, None] == near[y[exact]][:, None, :]).any(axis=2)
+            owner = np.where(same, near[x[exact]], np.iinfo(np.int32).max).min(axis=1)
+            found_here = np.zeros(len(x), bool)
+            found_here[exact[owner == pivot]] = True
+            keep.append(found_here)
         keep = np.concatenate(keep) if keep else np.zeros(0, bool)
         i, j = i[keep], j[keep]
         links = np.bincount(np.concatenate([i, j]), np.concatenate([copies[j], copies[i]]), minlength=len(ids)).astype(np.int64)
@@ -93,10 +100,10 @@ def _link_block(threshold: float, shared: int):
 def near_duplicates(vectors: DataFrame, threshold: float = 0.93, pivots: int = 128, prefix: int = 10, shared: int = 2, chunk: int = 1024) -> DataFrame:
     """vec_id, n_links, component_id, kept of each row of (vec_id, embedding, label).
 
-    A vector is described by its ``prefix`` nearest of ``pivots`` reference points, which are the distinct
-    vectors whose hashes are least (the documented sample that the index is fitted on; all rows are
-    indexed). Vectors of one label that share ``shared`` pivots or more are compared exactly, in the
-    inverted list of the least pivot that they share; lists are cut into chunks of about ``chunk`` vectors
+    A vector is described by its ``prefix`` nearest of ``pivots`` reference points of its length at most, which are vectors
+    that are least by hash in as many hash buckets (the documented sample that the index is fitted on; all rows are
+    indexed). Vectors of one label that share ``shared`` pivots or more (as many as there are, if fewer) are then compared
+    exactly, in the inverted list of the least pivot that they share; lists are cut into chunks of about ``chunk`` vectors
     and each pair of chunks is a task group of its own, so that no group is larger. Equal vectors are
     compared once and their number counts. Only counts and a forest of links leave a group.
 
@@ -109,7 +116,8 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, pivots: int = 1
     reps = rows.groupBy(*keys).agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"))
     reps = stored(reps, "vector-classes")
     body = rows.join(reps, keys).where("vec_id = rep").dropDuplicates(["rep", *keys]).select("rep", "copies", "label", "embedding")
-    sample = rows.select("embedding", "k1", "k2").dropDuplicates(["k1", "k2"]).orderBy(F.xxhash64("k1"), "k1", "k2").limit(pivots).collect()
+    drawn = rows.groupBy(F.size("embedding").alias("dim"), F.pmod(F.xxhash64("k1"), F.lit(pivots)).alias("bucket")).agg(F.min_by("embedding", F.struct("k1", "k2")).alias("embedding"))
+    sample = drawn.orderBy("dim", "bucket").collect()  # at most `pivots` vectors of each length
     points = [np.array(r["embedding"], np.float64) for r in sample]
     described = stored(nearest_pivots(body, points, prefix), "vector-index")
 

@@ -58,7 +58,7 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = langid.fit(docs.where(~held_out()))
     found = langid.predict(docs, model)
-    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "rejected")
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
