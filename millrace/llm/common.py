@@ -38,7 +38,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    found = spark.read.schema(df.schema).parquet(path)
+    found.stored_path = path
+    return found
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete ``stored`` tables that nothing reads any more: no frame that is still to be run may come from them."""
+    for table in tables:
+        path = table.sparkSession._jvm.org.apache.hadoop.fs.Path(table.stored_path)
+        path.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def only(df: DataFrame, *names: str) -> DataFrame:

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import BYTE_CODES, SpanHash, WordHashes, mix, only, signed, slices, small_batches, stored
+from millrace.llm.common import BYTE_CODES, SpanHash, WordHashes, discard, mix, only, signed, slices, small_batches, stored
 
 #: Classes of a bucket beyond which it is split by longer grams.
 MOST = 256
@@ -312,8 +312,11 @@ def repeats(docs: DataFrame, kind: Kind, solver: Solver, keep_first: bool, most:
     every = stored(rows.mapInArrow(_occurrence_rows(kind), _OCCURRENCE), "occurrences")
     again = stored(every.groupBy("a").count().where("count > 1").select("a"), "anchors")
     found = stored(every.join(again, "a"), "repeated-anchors")
+    discard(every, again)
     classes = found.groupBy("a", "c").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "first", "r", "last")).alias("top"))
-    classes = stored(_sized(stored(classes.select("a", "c", "n", "top.*"), "classes")), "sized-classes")
+    plain = stored(classes.select("a", "c", "n", "top.*"), "classes")
+    classes = stored(_sized(plain), "sized-classes")
+    discard(plain)
 
     # A class alone in its bucket has equal members and nothing to be compared with.
     alone = classes.where("classes = 1 and n > 1").select("a", "c", F.lit(0).cast("long").alias("lo"), (F.col("last") - F.col("first")).alias("hi"), F.lit(keep_first).alias("rest"), F.col("doc_id").alias("t_doc"), F.col("first").alias("t_first"), F.col("r").alias("t_r"))
