@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import only, slices, stored
+from millrace.llm.common import only, slices, stored, unused
 
 STRIPPED = " \t\n\x0b\x0c\r"
 _LOWER = {c: c + 32 for c in range(65, 91)}
@@ -118,12 +118,13 @@ def lines_to_drop(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, batch
 
 def _without(docs: DataFrame, drops: DataFrame, min_chars: int, names: list[str], finish, schema) -> DataFrame:
     """Run ``finish(batch, [(n_lines, kept lines)])`` over ``docs`` joined with what they lose."""
-    joined = docs.join(drops.withColumnRenamed("doc_id", "_of").withColumnRenamed("drops", "_drops"), F.col("doc_id") == F.col("_of"), "left")
+    of, gone_at = unused(docs, "_of"), unused(docs, "_drops")
+    joined = docs.join(drops.withColumnsRenamed({"doc_id": of, "drops": gone_at}), F.col("doc_id") == F.col(of), "left")
 
     def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(found, "text", 4 << 20):
             kept = []
-            for text, gone in zip(batch.column("text").to_pylist(), batch.column("_drops").to_pylist(), strict=True):
+            for text, gone in zip(batch.column("text").to_pylist(), batch.column(gone_at).to_pylist(), strict=True):
                 lines = (text or "").split("\n")
                 stay = lines
                 if gone:
@@ -133,7 +134,7 @@ def _without(docs: DataFrame, drops: DataFrame, min_chars: int, names: list[str]
                 kept.append((len(lines), stay))
             yield finish(batch.select(names), kept)
 
-    return joined.select(*[F.col(f"`{n}`") for n in dict.fromkeys([*names, "text", "_drops"])]).mapInArrow(run, schema)
+    return joined.select(*[F.col(f"`{n}`") for n in dict.fromkeys([*names, "text", gone_at])]).mapInArrow(run, schema)
 
 
 def line_digests(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, batches: int = 3) -> DataFrame:

@@ -436,3 +436,13 @@ def test_repeated_rows(spark):
     assert [r.component_id for r in ngram_join.near_copies(df).where("doc_id = 1").collect()] == [1, 1]
     assert lines.line_digests(df).count() == 3
     assert fingerprints.edited_fingerprints(df).count() == 3
+
+
+def test_clashing_columns_stay(spark):
+    text = "word " * 200
+    df = spark.createDataFrame([(1, text), (2, text), (3, None)], "doc_id long, text string")
+    for n in ("_r", "_cover", "_of", "_drops", "r", "a"):
+        df = df.withColumn(n, F.lit(n))
+    for run in (suffix_dedup.remove_repeats, lines.dedup_lines, ngram_join.keep_one):
+        found = run(df)
+        assert found.columns == df.columns and {r["_drops"] for r in found.collect()} == {"_drops"}
