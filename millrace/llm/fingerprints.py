@@ -88,7 +88,8 @@ def with_next(docs: DataFrame, key: str, names: dict[str, str]) -> tuple[DataFra
     order = F.coalesce(F.col(key), F.lit(-(1 << 63)))
     low, high = docs.agg(F.min(key), F.max(key)).first()
     width = 1 if low is None else (high - low) // partitions(spark) + 1
-    bucket = F.coalesce(F.floor((F.col(key) - F.lit(low if low is not None else 0)) / F.lit(width)), F.lit(-1)).cast("long")
+    # In doubles, as ids may be further apart than a long can tell; a larger id never gets a smaller range.
+    bucket = F.coalesce(F.floor((F.col(key).cast("double") - F.lit(float(low or 0))) / F.lit(float(width))), F.lit(-1)).cast("long")
     rows = docs.withColumn("_order", order).withColumn("_range", bucket)
     heads = rows.select("_order", "_range").groupBy("_range").agg(F.max("_order").alias("_order")).collect()  # a row a range
     heads = sorted((r["_range"], r["_order"]) for r in heads)

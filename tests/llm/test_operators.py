@@ -446,3 +446,13 @@ def test_clashing_columns_stay(spark):
     for run in (suffix_dedup.remove_repeats, lines.dedup_lines, ngram_join.keep_one):
         found = run(df)
         assert found.columns == df.columns and {r["_drops"] for r in found.collect()} == {"_drops"}
+
+
+def test_fingerprints_of_wide_and_null_ids(spark):
+    ids = [-(1 << 63) + 1, -5, 0, 7, (1 << 63) - 1]
+    df = spark.createDataFrame([(d, f"text {i} of a few words more") for i, d in enumerate(ids)] + [(None, "no id here")], "doc_id long, text string")
+    got = {r.doc_id: r.edited_sha256 for r in fingerprints.edited_fingerprints(df).collect()}
+    order = [(d, f"text {ids.index(d)} of a few words more") for d in sorted(ids, reverse=True)] + [(None, "no id here")]
+    for (d, t), (_, after) in zip(order, order[1:] + order[:1], strict=True):
+        half = len(t) // 2
+        assert got[d] == hashlib.sha256((t[: len(t) - half] + after[:half]).encode()).hexdigest(), d
