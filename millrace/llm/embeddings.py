@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -12,6 +14,9 @@ from pyspark.sql import types as T
 from millrace.llm.common import only, stored
 from millrace.llm.components import components
 
+#: Bounds of the sample of reference points of each vector length.
+LEAST_PIVOTS, MOST_PIVOTS = 128, 16_384
+
 
 def _usable() -> Column:
     bad = F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
@@ -41,7 +46,12 @@ def nearest_pivots(reps: DataFrame, pivots: list[np.ndarray], prefix: int) -> Da
             for d in np.unique(pc.list_value_length(batch.column("embedding")).to_numpy()):
                 part = batch.filter(pc.equal(pc.list_value_length(batch.column("embedding")), int(d)))
                 numbers, table = tables.get(int(d), (np.array([-1]), np.ones((1, int(d)))))
-                order = np.argsort(-(_matrix(part.column("embedding")) @ table.T), axis=1, kind="stable")[:, :prefix]
+                unit, order = _matrix(part.column("embedding")), []
+                for at in range(0, len(unit), rows := max(1, (1 << 22) // len(table))):
+                    far = -(unit[at : at + rows] @ table.T)
+                    some = np.sort(np.argpartition(far, min(prefix, far.shape[1]) - 1, axis=1)[:, :prefix], axis=1)
+                    order.append(np.take_along_axis(some, np.argsort(np.take_along_axis(far, some, 1), axis=1, kind="stable"), 1))
+                order = np.concatenate(order)
                 near = pa.array(list(numbers[order].astype(np.int32)), pa.list_(pa.int32()))
                 yield pa.RecordBatch.from_arrays([*part.columns, near], [*part.schema.names, "near"])
 
@@ -97,12 +107,13 @@ def _link_block(threshold: float, shared: int):
     return run
 
 
-def near_duplicates(vectors: DataFrame, threshold: float = 0.93, pivots: int = 128, prefix: int = 10, shared: int = 2, chunk: int = 1024) -> DataFrame:
+def near_duplicates(vectors: DataFrame, threshold: float = 0.93, pivots: int | None = None, prefix: int = 10, shared: int = 2, chunk: int = 1024) -> DataFrame:
     """vec_id, n_links, component_id, kept of each row of (vec_id, embedding, label).
 
     A vector is described by its ``prefix`` nearest of ``pivots`` reference points of its length at most, which are vectors
     that are least by hash in as many hash buckets (the documented sample that the index is fitted on; all rows are
-    indexed). Vectors of one label that share ``shared`` pivots or more (as many as there are, if fewer) are then compared
+    indexed). ``pivots`` is the square root of the number of rows unless given, ``LEAST_PIVOTS`` at least and ``MOST_PIVOTS`` at
+    most, so lists grow with that root, and beyond the most with the rows. Vectors of one label that share ``shared`` pivots or more (as many as there are, if fewer) are then compared
     exactly, in the inverted list of the least pivot that they share; lists are cut into chunks of about ``chunk`` vectors
     and each pair of chunks is a task group of its own, so that no group is larger. Equal vectors are
     compared once and their number counts. Only counts and a forest of links leave a group.
@@ -112,6 +123,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, pivots: int = 1
     """
     vectors = only(vectors, "vec_id", "embedding", "label")
     rows = stored(vectors.where(_usable()).withColumns({"k1": F.xxhash64("embedding"), "k2": F.hash("embedding")}), "vectors")
+    pivots = pivots or min(MOST_PIVOTS, max(LEAST_PIVOTS, math.isqrt(rows.count())))
     keys = ["label", "k1", "k2"]
     reps = rows.groupBy(*keys).agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"))
     reps = stored(reps, "vector-classes")
