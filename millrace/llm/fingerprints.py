@@ -79,17 +79,18 @@ def likeness(a: Column, b: Column) -> Column:
 def with_next(docs: DataFrame, key: str, names: dict[str, str]) -> tuple[DataFrame, Callable[[DataFrame, dict[str, str]], DataFrame], Callable[[DataFrame], DataFrame]]:
     """Each row beside its successor in descending order of ``key``; after the last row comes the first.
 
-    Rows are dealt into ranges of the key, as many as shuffle partitions. A copy of the first row of
+    Rows are dealt into ranges of the key between its quantiles, as many as shuffle partitions. A copy of the first row of
     the next range ends each range as its guest, so successors need one shuffle and no global order.
     Null keys come last; equal keys are ordered by the columns in ``names``.
     Returns the rows, a function that adds the successors' values of columns, and one that drops guests.
     """
     spark = docs.sparkSession
     order = F.coalesce(F.col(key), F.lit(-(1 << 63)))
-    low, high = docs.agg(F.min(key), F.max(key)).first()
-    width = 1 if low is None else (high - low) // partitions(spark) + 1
-    # In doubles, as ids may be further apart than a long can tell; a larger id never gets a smaller range.
-    bucket = F.coalesce(F.floor((F.col(key).cast("double") - F.lit(float(low or 0))) / F.lit(float(width))), F.lit(-1)).cast("long")
+    parts = partitions(spark)
+    bounds = docs.agg(F.percentile_approx(key, [i / parts for i in range(1, parts + 1)], 20 * parts)).first()[0] or []
+    # The number of quantiles below the id: a larger id never gets a smaller range.
+    ends = F.array(*[F.lit(b) for b in sorted(set(bounds))]).cast("array<long>")
+    bucket = F.when(F.col(key).isNull(), F.lit(-1)).otherwise(F.size(F.filter(ends, lambda b: b < F.col(key)))).cast("long")
     rows = docs.withColumn("_order", order).withColumn("_range", bucket)
     heads = rows.select("_order", "_range").groupBy("_range").agg(F.max("_order").alias("_order")).collect()  # a row a range
     heads = sorted((r["_range"], r["_order"]) for r in heads)
