@@ -89,7 +89,68 @@ QUERIES: dict[str, Query] = {
 _SPACE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+_WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
+
 ORACLES: dict[str, str] = {
+    "op3_ngram_jaccard_join": f"""
+        with recursive words as (select doc_id, {_WORDS.format(f"translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}')")} as w from documents),
+        shingles as (
+            select distinct doc_id, md5(array_to_string(w[p : p + 4], ' ')) as s
+            from words, unnest(generate_series(1, greatest(len(w) - 4, 1))) as g(p) where len(w) > 0
+        ),
+        sizes as (select doc_id, count(*) as n from shingles group by doc_id),
+        shared as (
+            select a.doc_id as u, b.doc_id as v, count(*) as k
+            from shingles a join shingles b on a.s = b.s and a.doc_id <> b.doc_id group by 1, 2
+        ),
+        links as (
+            select u, v from shared join sizes a on a.doc_id = u join sizes b on b.doc_id = v
+            where 100 * k >= 80 * (a.n + b.n - k)
+        ),
+        reached as (select doc_id, doc_id as other from documents union select r.doc_id, v from reached r join links on u = r.other)
+        select d.doc_id, coalesce(any_value(n), 0) as n_shingles, min(other) as component_id
+        from documents d left join sizes s on s.doc_id = d.doc_id join reached r on r.doc_id = d.doc_id group by d.doc_id
+    """,
+    "op4_suffix_array_dedup": """
+        with raw as (select doc_id, encode(coalesce(text, '')) as b from documents),
+        spots as (
+            select doc_id, p, md5(b[p : p + 399]) as h
+            from raw, unnest(generate_series(1, octet_length(b) - 399)) as g(p)
+        ),
+        repeated as (select doc_id, p from (select *, count(*) over (partition by h) as k from spots) where k > 1),
+        steps as (select *, p - lag(p) over (partition by doc_id order by p) as gap from repeated),
+        runs as (select *, count(*) filter (where gap is null or gap > 400) over (partition by doc_id order by p) as run from steps),
+        spans as (select doc_id, run, min(p) as low, max(p) + 400 as high from runs group by doc_id, run),
+        ends as (select doc_id, list(low order by run) as lows, list(high order by run) as highs from spans group by doc_id),
+        kept as (
+            select r.doc_id, b, coalesce(lows, []) as lows, coalesce(highs, []) as highs
+            from raw r left join ends e on e.doc_id = r.doc_id
+        )
+        select doc_id, octet_length(b) as n_bytes,
+               coalesce(list_sum(highs), 0)::bigint - coalesce(list_sum(lows), 0)::bigint as n_removed, len(lows) as n_spans,
+               sha256(from_hex(array_to_string(list_transform(generate_series(0, len(lows)),
+                   lambda i: hex(b[coalesce(highs[i], 1) : coalesce(lows[i + 1], octet_length(b) + 1) - 1])), ''))) as kept_sha256
+        from kept
+    """,
+    "op10_substring_dedup": f"""
+        with texts as (select doc_id, {_WORDS.format("coalesce(text, '')")} as w from documents),
+        windows as (
+            select doc_id, p, md5(array_to_string(w[p : p + 19], ' ')) as h
+            from texts, unnest(generate_series(1, len(w) - 19)) as g(p)
+        ),
+        again as (
+            select doc_id, p from (select *, row_number() over (partition by h order by doc_id, p) as k from windows) where k > 1
+        ),
+        words as (select doc_id, unnest(w) as word, generate_subscripts(w, 1) as i from texts),
+        last as (
+            select w.*, max(p) over (partition by w.doc_id order by i) as top
+            from words w left join again a on a.doc_id = w.doc_id and p = i
+        ),
+        marked as (select *, coalesce(i - top < 20, false) as gone from last)
+        select t.doc_id, count(i) as n_words, count(i) filter (where gone) as n_removed,
+               sha256(coalesce(string_agg(word, ' ' order by i) filter (where not gone), '')) as kept_sha256
+        from texts t left join marked m on m.doc_id = t.doc_id group by t.doc_id
+    """,
     "op8_line_dedup": f"""
         with parts as (select doc_id, string_split(coalesce(text, ''), chr(10)) as p from documents),
         lines as (select doc_id, unnest(p) as line, generate_subscripts(p, 1) as i from parts),
