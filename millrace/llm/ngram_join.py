@@ -32,6 +32,8 @@ _FREQUENT = np.uint64(1 << 63)
 _SLICE = 1 << 19
 #: Times at most that documents are compared with leaders before all pairs that still are candidates are.
 TURNS = 2
+#: N-grams before one in its list that are looked at for an earlier one that a pair shares.
+BEFORE = 8
 #: Columns of 64 bits in a set's sketch, which bounds overlaps from above.
 SKETCH = [f"s{i}" for i in range(16)]
 
@@ -291,14 +293,18 @@ class NgramJoin:
 
         # The first n-gram that two sets share stands early in both lists, as so many must follow it.
         own = Window.partitionBy("rep")
-        rest = rest.withColumns({"k": F.row_number().over(own.orderBy(F.col("gram") < 0, "gram")), "all": F.count("*").over(own)})
+        ordered = own.orderBy(F.col("gram") < 0, "gram")
+        before = F.collect_list("gram").over(ordered.rowsBetween(-BEFORE, -1))
+        rest = rest.withColumns({"k": F.row_number().over(ordered), "all": F.count("*").over(own), "before": before})
         rest = stored(rest.join(self.classes.select("rep", *SKETCH), "rep"), "sketched-lists")
-        one, two = (rest.select("gram", *[F.col(c).alias(f"{c}_{i}") for c in ("rep", "n", "c", "k", "all", *SKETCH)]) for i in (1, 2))
+        one, two = (rest.select("gram", *[F.col(c).alias(f"{c}_{i}") for c in ("rep", "n", "c", "k", "all", "before", *SKETCH)]) for i in (1, 2))
         n1, n2 = F.col("n_1"), F.col("n_2")
         near = (n1 * 100 >= n2 * self.percent) & (n2 * 100 >= n1 * self.percent)
         least = _least_shared(n1, n2, self.percent)
         early = (F.col("k_1") <= F.col("all_1") - least + 1) & (F.col("k_2") <= F.col("all_2") - least + 1)
-        pairs = one.join(two, "gram").where((F.col("rep_1") < F.col("rep_2")) & (F.col("c_1") != F.col("c_2")) & near & early & self._able("1", "2"))
+        # A pair comes from the first n-gram that it shares, and again only where none of the few before is shared.
+        first = ~F.arrays_overlap("before_1", "before_2")
+        pairs = one.join(two, "gram").where((F.col("rep_1") < F.col("rep_2")) & (F.col("c_1") != F.col("c_2")) & near & early & first & self._able("1", "2"))
         pairs = pairs.select(*[F.col(f"{c}_{i}").alias(f"{c}{i}") for c in ("rep", "n") for i in (1, 2)])
         least = _least_shared(F.col("n1"), F.col("n2"), self.percent)
         pairs = pairs.distinct()
