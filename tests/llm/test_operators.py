@@ -150,6 +150,17 @@ def test_ngram_join(spark, docs, rows):
     assert {r.doc_id for r in ngram_join.keep_one(df).collect()} == {d for d in ids if want[d] == d}
 
 
+def test_last_step_of_ngram_join_finds_what_leaders_miss(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join.NgramJoin, "_led", lambda self, lists, turn: self.classes.selectExpr("rep AS u", "rep AS v").limit(0))
+    rng = random.Random(12)
+    bases = [" ".join(words(rng, 120, 9999)) for _ in range(3)]
+    data = [(i, near(rng, bases[i % 3], rng.randrange(6))) for i in range(60)]
+    sets = {d: shingles(t) for d, t in data}
+    linked = [(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    df = spark.createDataFrame(data, "doc_id long, text string").repartition(3)
+    assert {r.doc_id: r.component_id for r in ngram_join.near_copies(df).collect()} == closure(sorted(sets), linked)
+
+
 def thue_morse(n):
     """Words of 2 ** n letters that polynomial hashes modulo 2 ** 64 can't tell from their complement."""
     word = "".join("ab"[bin(i).count("1") % 2] for i in range(1 << n))
