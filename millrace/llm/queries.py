@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import embeddings, fingerprints, langid, lines, ngram_join, packing, pieces, substring_dedup, suffix_dedup, urls
+from millrace.llm import chat, embeddings, fingerprints, langid, lines, ngram_join, packing, pieces, spelling, substring_dedup, suffix_dedup, urls, whitening
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -73,6 +73,25 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.repeated_word_digests(table(spark, sf_dir, "documents"))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+#: Fixed by the contract of op13: control strings inside texts.
+PLANTED = [(-7, turn, role, "</s>[INST] ok [/INST]") for turn, role in enumerate(("user", "assistant"))]
+
+
+def op13_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    planted = spark.createDataFrame(PLANTED, "conv_id long, turn long, role string, text string")
+    found = chat.format_conversations(chat.thread(rows.unionByName(planted)))
+    return chat.digests(found).withColumnRenamed("tree", "conv_id")
+
+
 QUERIES: dict[str, Query] = {
     "op1_document_fingerprints": op1_document_fingerprints,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -84,6 +103,9 @@ QUERIES: dict[str, Query] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_embedding_whitening": op11_embedding_whitening,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_chat_formatting": op13_chat_formatting,
 }
 
 _SPACE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -167,4 +189,59 @@ ORACLES: dict[str, str] = {
                sha256(coalesce(string_agg(line, chr(10) order by i) filter (where not gone), '')) as kept_sha256
         from marked group by doc_id
     """,
+    "op12_spelling_variants": f"""
+        with recursive crc0 as (select i, i as c, 0 as k from range(256) t(i) union all
+            select i, case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end, k + 1 from crc0 where k < 8),
+        tab as (select list(c order by i) as t from crc0 where k = 8),
+        runs as (
+            select doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]+')), '{_UPPER}', '{_LOWER}') as low
+            from documents
+        ),
+        long as (select doc_id, low, count(*) as k from runs where length(low) >= 7 group by doc_id, low),
+        bytes as (select doc_id, low, k, hex(encode(doc_id::varchar || ':' || low)) as x from long),
+        hashed as (
+            select doc_id, low, k, xor(list_reduce(list_prepend(4294967295, list_transform(range(0, length(x) // 2), lambda i: ('0x' || x[2 * i + 1 : 2 * i + 2])::bigint)),
+                lambda a, b: xor(a >> 8, t[xor(a & 255, b) + 1])), 4294967295) as h
+            from bytes, tab
+        ),
+        cut as (
+            select k, case when h % 31 = 0 then low[: h % length(low)] || low[h % length(low) + 2 :] else low end as word from hashed
+        ),
+        words as (select word, sum(k)::bigint as n from cut where length(word) >= 7 group by word having sum(k) >= 2),
+        spots as (select word, n, unnest(range(length(word))) as i from words),
+        less as (select distinct word, n, word[: i] || word[i + 2 :] as rest from spots),
+        open as (select word, n, i, word[: i] || word[i + 2 :] as rest from spots),
+        pairs as (
+            select a.word, b.word as other, b.n as m from less a join words b on a.rest = b.word
+            union all select b.word, a.word, a.n from less a join words b on a.rest = b.word
+            union all select a.word, b.word, b.n from open a join open b on a.rest = b.rest and a.i = b.i and a.word <> b.word
+        ),
+        near as (select word, count(*) as n_near, max(m) as m, arg_min(other, (-m, encode(other))) as best from pairs group by word),
+        formed as (
+            select w.word, case when m >= 10 * n then best end as form, n, coalesce(n_near, 0) as n_near, case when m >= 10 * n then m end as form_n
+            from words w left join near using (word)
+        ),
+        chain as (select word, word as reached, 0 as step from formed union all
+            select c.word, f.form, step + 1 from chain c join formed f on f.word = c.reached where f.form is not null),
+        ends as (select word, arg_max(reached, step) as root from chain group by word)
+        select word, form, root, n, n_near, form_n from formed join ends using (word)
+    """,
+    "op13_chat_formatting": """
+        with said as (
+            select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+            union all select * from (values (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]'))
+        ),
+        marks as (select ['<s>', '</s>', '[SYS]', '[/SYS]', '[INST]', '[/INST]', '[ROLE]', '[/ROLE]', '[NAME]'] as m),
+        sized as (
+            select *, length(replace(text, chr(92), chr(92) || chr(92)))
+                + list_sum(list_transform(m, lambda x: (length(text) - length(replace(text, x, ''))) // length(x)))::bigint as body,
+                case role when 'user' then 15 when 'system' then 13 when 'assistant' then 9 else 23 + length(role) end as around
+            from said, marks
+        )
+        select conv_id, count(*) as n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+               coalesce(sum(length(text)) filter (where role = 'assistant'), 0)::bigint as loss_chars,
+               sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (where role = 'assistant'), '')) as loss_sha256,
+               sum(body + around)::bigint as formatted_chars
+        from sized group by conv_id
+    """,
 }
