@@ -10,8 +10,8 @@ MAX_TS = (1 << 63) - 1
 """A timestamp without bound: endless reading, or a range that nothing has advanced yet."""
 
 INITIALIZED, COMMITTED, PREWRITE, COMMIT, ROLLBACK = LOG_TYPES = ("INITIALIZED", "COMMITTED", "PREWRITE", "COMMIT", "ROLLBACK")
-#: Marks of a streamed log without a key: the region's resolved timestamp (as commit_ts), and that the region is left.
-RESOLVED, STOPPED = MARKS = ("RESOLVED", "STOPPED")
+#: Marks of a streamed log without a key: the region's resolved timestamp (as commit_ts), that it is left, that it is followed from commit_ts on.
+RESOLVED, STOPPED, JOINED = MARKS = ("RESOLVED", "STOPPED", "JOINED")
 PUT, DELETE = "PUT", "DELETE"
 
 #: Fixed codes of the operation types; there is no code 5.
