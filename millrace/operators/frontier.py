@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.model import MAX_TS
+from millrace.operators.sweep import LEVELS, block_of, blocks_met, cuts_of, prefix_max, running_max, stabbed
 
 
 def accept_resolved(messages: DataFrame, regions: DataFrame) -> DataFrame:
@@ -32,17 +36,29 @@ def resolved_progress(resolved: DataFrame) -> DataFrame:
 
 
 def region_frontier(resolved: DataFrame) -> DataFrame:
-    """(tick, frontier): the least of the regions' greatest timestamps; one partial value a region and tick is shuffled."""
-    return resolved_progress(resolved).groupBy("tick").agg(F.min("effective_ts").alias("frontier"))
+    """(tick, frontier): the least of the regions' greatest timestamps, at each tick from that on at which all regions are known.
+
+    A region that is silent in a tick keeps what it had. Each rise of a region holds from its tick to the next one; the least of what
+    holds at a tick is a stabbing query over these intervals, so no region meets a tick at which it said nothing.
+    """
+    by_region = Window.partitionBy("region_id").orderBy("tick")
+    progress = resolved.select("region_id", "tick", F.max("resolved_ts").over(by_region).alias("value"), F.max("resolved_ts").over(by_region.rowsBetween(Window.unboundedPreceding, -1)).alias("before"))
+    rises = progress.where("before is null or value > before")
+    until = F.coalesce(F.lead("tick").over(by_region) - 1, F.lit((1 << LEVELS) - 1))
+    held = rises.select(F.col("tick").alias("low"), until.alias("high"), "value")
+    known = resolved.groupBy("region_id").agg(F.min("tick").alias("first")).agg(F.max("first")).scalar()
+    return stabbed(resolved.select("tick").where(F.col("tick") >= known), "tick", held, F.min).withColumnRenamed("value", "frontier")
+
+
+def rises(frontier: DataFrame) -> DataFrame:
+    """(tick, resolved_ts): the ticks at which the frontier rises. It never falls, so these are the first ticks of its values."""
+    return frontier.where(F.col("frontier") > 0).groupBy(F.col("frontier").alias("resolved_ts")).agg(F.min("tick").alias("tick")).select("tick", "resolved_ts")
 
 
 def advances(frontier: DataFrame) -> DataFrame:
-    """The ticks at which the frontier rises above all before, with the gap since the last rise."""
-    # One row a tick, whatever the number of regions: a series that one task can order.
-    series = Window.orderBy("tick")
-    top = F.max("frontier").over(series.rowsBetween(Window.unboundedPreceding, -1))
-    rises = frontier.withColumn("_top", top).where((F.col("frontier") > 0) & (F.col("_top").isNull() | (F.col("frontier") > F.col("_top"))))
-    return rises.select("tick", F.col("frontier").alias("resolved_ts"), (F.col("tick") - F.lag("tick").over(series)).alias("ticks_since"))
+    """The rises of the frontier, with the ticks since the one before (null for the first)."""
+    found = prefix_max(rises(frontier), "tick", F.col("tick"), "_last")
+    return found.select("tick", "resolved_ts", (F.col("tick") - F.col("_last")).alias("ticks_since"))
 
 
 def segments(forwards: DataFrame) -> DataFrame:
@@ -50,18 +66,40 @@ def segments(forwards: DataFrame) -> DataFrame:
 
     The least seq is the initial span. A boundary goes when a later forward covers it strictly inside, and
     neighbours of equal value stay apart. Where nothing has been assigned the value is MAX_TS. Only the last
-    forward of each (start_key, end_key) can matter to a boundary or a value, so the range joins meet as many
-    rows as there are different ranges, however long the log.
+    forward of each (start_key, end_key) can matter. Each goes to the blocks of keys that it meets, where they are applied in
+    order: a block's map has as many entries as boundaries lie in it, however long the log.
     """
-    forwards = forwards.groupBy("start_key", "end_key").agg(F.max_by("ts", "seq").alias("ts"), F.max("seq").alias("seq"))
-    bounds = forwards.select(F.col("start_key").alias("key"), "seq").unionByName(forwards.select(F.col("end_key").alias("key"), "seq"))
-    made = bounds.groupBy("key").agg(F.max("seq").alias("made"))
-    f = forwards.alias("f")
-    gone = (F.col("f.seq") > F.col("made")) & (F.col("f.start_key") < F.col("key")) & (F.col("key") < F.col("f.end_key"))
-    left = made.join(f, gone, "left_anti")
-    over = left.join(f, (F.col("f.start_key") <= F.col("key")) & (F.col("key") < F.col("f.end_key")), "left")
-    value = F.max_by(F.col("f.ts"), F.col("f.seq"))
-    return over.groupBy("key").agg(F.coalesce(value, F.lit(MAX_TS)).alias("ts")).select(F.col("key").alias("start_key"), "ts")
+    last = forwards.groupBy("start_key", "end_key").agg(F.max_by("ts", "seq").alias("ts"), F.max("seq").alias("seq"))
+    cuts = cuts_of(forwards.select("start_key"))
+    lows, highs = ["", *cuts], [*cuts, None]
+    # Where a range ends is a boundary too, which may be the first key of the next block.
+    blocks = F.array_union(blocks_met(F.col("start_key"), F.col("end_key"), cuts), F.array(block_of(F.col("end_key"), cuts)))
+
+    def apply(group: pd.DataFrame) -> pd.DataFrame:
+        block = int(group["block"].iloc[0])
+        low, high = lows[block], highs[block]
+        starts, values, real = [low], [MAX_TS], False
+        for start, end, ts in group.sort_values("seq")[["start_key", "end_key", "ts"]].itertuples(index=False):
+            if end > low:
+                # The block's first key is a boundary if the last that met it began there, not if it covers it.
+                real = start == low if start <= low else real
+                assign(starts, values, max(start, low), "" if high is not None and end >= high else end, ts)
+            elif end == low:
+                real = True
+        begin = 0 if real else 1
+        return pd.DataFrame({"start_key": pd.Series(starts[begin:], dtype=object), "ts": pd.Series(values[begin:], dtype="int64")})
+
+    return last.withColumn("block", F.explode(blocks)).groupBy("block").applyInPandas(apply, "start_key string, ts long")
+
+
+def assign(starts: list[str], values: list[int], start: str, end: str, ts: int) -> None:
+    """Set the value of [start, end) in an interval map of sorted starts; boundaries strictly inside go, an empty end is open."""
+    i, j = bisect_left(starts, start), bisect_left(starts, end) if end else len(starts)
+    new_starts, new_values = [start], [ts]
+    if end and (j == len(starts) or starts[j] != end):
+        new_starts.append(end)
+        new_values.append(values[j - 1])
+    starts[i:j], values[i:j] = new_starts, new_values
 
 
 def frontier_of(found: DataFrame) -> DataFrame:
@@ -77,31 +115,19 @@ def printed(found: DataFrame) -> DataFrame:
 
 def slowest(found: DataFrame) -> DataFrame:
     """(start_key, end_key, ts) of the least advanced segment, the first of equal ones."""
-    least = found.agg(F.min(F.struct("ts", "start_key")).alias("s")).select("s.ts", "s.start_key")
-    after = found.select(F.col("start_key").alias("next_key"))
-    joined = least.join(after, F.col("next_key") > F.col("start_key"), "left")
-    return joined.groupBy("start_key", "ts").agg(F.min("next_key").alias("end_key")).select("start_key", "end_key", "ts")
+    least = found.agg(F.min(F.struct("ts", "start_key")).alias("s"))
+    after = found.where(F.col("start_key") > least.select("s.start_key").scalar()).agg(F.min("start_key")).scalar()
+    return least.where("s is not null").select("s.start_key", after.alias("end_key"), "s.ts")
 
 
-def with_frontier(changelog: DataFrame, frontier: DataFrame, at: str = "emit_seq", width: int = 4096) -> DataFrame:
+def with_frontier(changelog: DataFrame, frontier: DataFrame, at: str = "emit_seq") -> DataFrame:
     """Each change with the frontier as of its place in the log; -1 before the first.
 
-    ``frontier`` has from_seq (from which place on it holds) and resolved_ts, a row an advance. The series
-    becomes ranges of places; both sides are dealt by blocks of ``width`` places, so the range join is
-    an equality join with a small remainder, however long the log. The ranges are disjoint: each change meets
-    one at most, and repeated changes stay.
+    ``frontier`` has from_seq (from which place on it holds) and resolved_ts, a row an advance. Both sides are swept in blocks of
+    places; repeated changes stay.
     """
-    series = Window.orderBy("from_seq")
-    top = changelog.agg(F.max(at)).first()[0] or 0
-    ranges = frontier.select(
-        F.col("from_seq").alias("_from"), F.coalesce(F.lead("from_seq").over(series), F.lit(top + 1)).alias("_to"), F.max("resolved_ts").over(series).alias("frontier_ts")
-    ).where("_from < _to")
-    block = lambda x: F.floor(x / width)
-    ranges = ranges.withColumn("_at", F.explode(F.sequence(block(F.col("_from")), block(F.col("_to") - 1))))
-    place = F.col(at)
-    hit = (F.col("_block") == F.col("_at")) & (place >= F.col("_from")) & (place < F.col("_to"))
-    found = changelog.withColumn("_block", block(place)).join(ranges, hit, "left")
-    return found.select(*changelog.columns, F.coalesce("frontier_ts", F.lit(-1)).alias("frontier_ts"))
+    found = running_max(changelog, at, frontier, "from_seq", F.col("resolved_ts"), "frontier_ts")
+    return found.withColumn("frontier_ts", F.coalesce("frontier_ts", F.lit(-1)))
 
 
 def is_late(commit_ts: Column, frontier_ts: Column) -> Column:

@@ -80,34 +80,67 @@ def matched(log: DataFrame) -> DataFrame:
     Of several prewrites that wait for it, the last one with a value has taken the place of those before; one
     without a value takes no place that is taken, so of these the first counts.
     """
-    pairs = not_rolled_back(candidates(log), log).where("case is not null")
-    latest = F.when(F.col("fake"), F.col("prewrite_seq")).otherwise(-F.col("prewrite_seq"))
-    first = Window.partitionBy(*KEYS, "commit_ts").orderBy("emit_seq", "fake", latest, "commit_seq")
-    return pairs.withColumn("_nth", F.row_number().over(first)).where("_nth = 1").drop("_nth")
+    return _events(log.where(F.col("log_type") != COMMITTED))
 
 
-_CHANGE = ["emit_seq", "region_id", "key", "start_ts", "commit_ts", "op_type", "new_value", "old_value"]
+def _events(log: DataFrame) -> DataFrame:
+    """Matched commits, as pairs with their case, and rows that came committed (case K), from one shuffle by transaction and key.
+
+    What each commit meets is told by windows over the entries of its transaction and key: the last prewrite with a value before
+    it, what is there at initialisation, the first prewrite after either, and what the rollbacks since have left. A rollback after
+    initialisation ends a span of entries; one before it takes all prewrites before it.
+    """
+    start = log.where(F.col("log_type") == INITIALIZED).groupBy("region_id").agg(F.min("seq").alias("init_seq"))
+    kind, seq, i = F.col("log_type"), F.col("seq"), F.col("init_seq")
+    rows = log.where(kind.isin(PREWRITE, COMMIT, ROLLBACK, COMMITTED)).join(start, "region_id", "left")
+    entry = Window.partitionBy(*KEYS)
+    before, behind = entry.orderBy("seq").rangeBetween(Window.unboundedPreceding, -1), entry.orderBy("seq").rangeBetween(1, Window.unboundedFollowing)
+    blank = ~present(F.col("new_value"))
+    one = F.struct(seq.alias("prewrite_seq"), "new_value", "old_value", blank.alias("fake"))
+    any_, real, fake = F.when(kind == PREWRITE, one), F.when((kind == PREWRITE) & ~blank, one), F.when((kind == PREWRITE) & blank, one)
+    rows = rows.withColumns({
+        "_last": F.max(real).over(before),
+        "_at_init": F.coalesce(F.max(F.when(seq < i, real)).over(entry), F.min(F.when(seq < i, fake)).over(entry)),
+        "_after_init": F.min(F.when(seq > i, any_)).over(entry),
+        "_next": F.min(any_).over(behind),
+        "_early": F.coalesce(F.max((kind == ROLLBACK) & (seq < i)).over(entry), F.lit(False)),
+        "_span": F.count(F.when((kind == ROLLBACK) & (seq > i), 1)).over(before),
+    })
+    alive = ~((seq < i) & F.col("_early"))
+    span = Window.partitionBy(*KEYS, "_span").orderBy("seq").rangeBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("_held", F.coalesce(F.max(F.when(alive, real)).over(span), F.min(F.when(alive, fake)).over(span)))
+    cases = {"A": (seq < i, "_last"), "B": (seq < i, "_at_init"), "C": (seq < i, "_after_init"), "D": (seq > i, "_held"), "E": (seq > i, "_next")}
+    case = F.when(kind == COMMITTED, "K")
+    for name, (when, column) in cases.items():
+        case = case.when((kind == COMMIT) & when & F.col(column).isNotNull(), name)
+    rows = rows.withColumn("case", case).where("case is not null")
+    own = F.struct(F.lit(None).cast("long").alias("prewrite_seq"), "new_value", "old_value", blank.alias("fake"))
+    pick = F.when(F.col("case") == "K", own)
+    for name, (_, column) in cases.items():
+        pick = pick.when(F.col("case") == name, F.col(column))
+    rows = rows.withColumn("_pick", pick)
+    at = F.when(F.col("case") == "B", i).when(F.col("case").isin("C", "E"), F.col("_pick.prewrite_seq")).otherwise(seq)
+    pairs = rows.select(*KEYS, "op_type", "commit_ts", seq.alias("commit_seq"), "init_seq", "case", at.alias("emit_seq"), "_pick.*")
+    latest = F.when(F.col("fake"), F.col("prewrite_seq")).otherwise(-F.col("prewrite_seq"))
+    first = Window.partitionBy(*KEYS, "commit_ts", F.col("case") == "K").orderBy("emit_seq", "fake", latest, "commit_seq")
+    return pairs.withColumn("_nth", F.row_number().over(first)).where("_nth = 1 or case = 'K'").drop("_nth")
 
 
-def echoes(pairs: DataFrame) -> DataFrame:
-    """The prewrites of matches whose commit came first (cases C and E), as events of their own: commit_ts is 0."""
-    return pairs.where(F.col("case").isin("C", "E")).withColumn("commit_ts", F.lit(0).cast("long"))
+_CHANGE = ["emit_seq", "region_id", "key", "start_ts", "commit_ts", "op_type", "new_value", "old_value"]
 
 
 def changes(log: DataFrame, regions: DataFrame, include_prewrite_echo: bool = False) -> DataFrame:
     """The changelog: matched commits and rows that came committed, typed by operation.
 
     A delete's prewrite has no value, so before initialisation it waits for it as a fake one does.
-    Each commit is emitted once. With ``include_prewrite_echo`` a commit that came before its prewrite is
-    preceded by that prewrite.
+    Each commit is emitted once. With ``include_prewrite_echo`` a commit that came before its prewrite (cases C and E) is
+    preceded by that prewrite, as an event of its own whose commit_ts is 0.
     """
-    rows = in_range(log, regions)
-    direct = rows.where(F.col("log_type") == COMMITTED).withColumn("emit_seq", F.col("seq"))
-    pairs = matched(rows)
-    both = pairs.select(*_CHANGE).unionByName(direct.select(*_CHANGE))
+    found = _events(in_range(log, regions))
     if include_prewrite_echo:
-        both = both.unionByName(echoes(pairs).select(*_CHANGE))
-    return both.withColumn("operate_type", operate_type(F.col("op_type"), F.col("old_value")))
+        both = F.array(F.lit(0).cast("long"), F.col("commit_ts"))
+        found = found.withColumn("commit_ts", F.explode(F.when(F.col("case").isin("C", "E"), both).otherwise(F.array("commit_ts"))))
+    return found.select(*_CHANGE).withColumn("operate_type", operate_type(F.col("op_type"), F.col("old_value")))
 
 
 def split_updates(changelog: DataFrame) -> DataFrame:

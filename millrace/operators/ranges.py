@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.scalar import present
 from millrace.model import REGION_ERRORS, ClientError
+from millrace.operators.sweep import SALTS, block_of, blocks_met, cuts_of
 
 
 def compare_starts(a: Column, b: Column) -> Column:
@@ -39,26 +40,70 @@ def intersection(a_start: Column, a_end: Column, b_start: Column, b_end: Column)
     return F.greatest(a_start, b_start), ends
 
 
+def locate(points: DataFrame, key: str, regions: DataFrame) -> DataFrame:
+    """The points with the region_id of the region that holds their ``key``; points in no region go. Regions don't overlap.
+
+    Regions go to the blocks of keys that they meet and are swept there with the points, which are dealt by hash over parts of
+    their block: one shuffle of the points, however many fall into one region.
+    """
+    cuts = cuts_of(regions.select("start_key"))
+    row = F.struct(*[F.col(f"`{c}`") for c in points.columns])
+    region = F.struct("region_id", "end_key")
+    part = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    known = regions.select("start_key", region.alias("region"), F.explode(blocks_met(F.col("start_key"), F.col("end_key"), cuts)).alias("block")).withColumn("salt", part)
+    known = known.select("block", "salt", F.coalesce("start_key", F.lit("")).alias("key"), F.lit(0).alias("kind"), "region", F.lit(None).cast(points.select(row.alias("r")).schema["r"].dataType).alias("row"))
+    asked = points.select(block_of(F.col(key), cuts).alias("block"), F.pmod(F.xxhash64(row), F.lit(SALTS)).cast("int").alias("salt"), F.col(key).alias("key"), F.lit(1).alias("kind"), F.lit(None).cast(known.schema["region"].dataType).alias("region"), row.alias("row"))
+    order = Window.partitionBy("block", "salt").orderBy("key", "kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    swept = known.unionByName(asked).withColumn("region", F.last("region", ignorenulls=True).over(order)).where("row is not null and region is not null and key is not null")
+    return swept.where(~present(F.col("region.end_key")) | (F.col("key") < F.col("region.end_key"))).select("row.*", "region.region_id")
+
+
 def divide(spans: DataFrame, regions: DataFrame, checkpoint_ts: int = 0) -> DataFrame:
     """(span_id, region_id, start_key, end_key, resolved_ts): each span cut along the regions that it meets.
 
-    ``spans`` has span_id, start_key, end_key. There are few spans beside regions, so Spark broadcasts
-    them if their size allows and pairs by range; each region is read once.
+    ``spans`` has span_id, start_key, end_key and may overlap; regions don't. Both go to the blocks of keys that they meet. There a
+    sweep numbers the regions and tells each span the first and the last of those it meets, which are then joined by number. A
+    pair that meets in several blocks counts in that in which its common part begins.
     """
-    s, r = spans.alias("s"), regions.alias("r")
-    a, b, c, d = F.col("s.start_key"), F.col("s.end_key"), F.col("r.start_key"), F.col("r.end_key")
+    cuts = cuts_of(regions.select("start_key"))
+    met = lambda rows, name: rows.select(F.col(name).alias("id"), "start_key", "end_key", F.explode(blocks_met(F.col("start_key"), F.col("end_key"), cuts)).alias("block"))
+    r, s = met(regions, "region_id"), met(spans, "span_id")
+    r = r.select("*", F.row_number().over(Window.partitionBy("block").orderBy(F.col("start_key").asc_nulls_first())).alias("number"))
+    open_ = ~present(F.col("end_key"))
+    known = r.select("block", F.lit(False).alias("far"), F.col("start_key").alias("key"), F.lit(1).alias("kind"), "number", F.lit(None).cast("struct<id:bigint,start_key:string,end_key:string>").alias("span"))
+    span, none = F.struct("id", "start_key", "end_key").alias("span"), F.lit(None).cast("int").alias("number")
+    # Regions that start where a span ends lie behind it; one that starts where it starts is met.
+    first = s.select("block", F.lit(False).alias("far"), F.col("start_key").alias("key"), F.lit(2).alias("kind"), none, span)
+    last = s.select("block", open_.alias("far"), F.when(~open_, F.col("end_key")).alias("key"), F.lit(0).alias("kind"), none, span)
+    order = Window.partitionBy("block").orderBy("far", F.col("key").asc_nulls_first(), "kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    swept = known.unionByName(first).unionByName(last).withColumn("number", F.max("number").over(order)).where("span is not null")
+    ends = swept.groupBy("block", "span").agg(F.max(F.when(F.col("kind") == 2, F.col("number"))).alias("low"), F.max(F.when(F.col("kind") == 0, F.col("number"))).alias("high"))
+    each = ends.where("high is not null").select("block", "span", F.explode(F.sequence(F.coalesce("low", F.lit(1)), F.greatest("high", F.coalesce("low", F.lit(1))))).alias("number"))
+    both = each.alias("s").join(r.alias("r"), ["block", "number"])
+    a, b, c, d = F.col("span.start_key"), F.col("span.end_key"), F.col("r.start_key"), F.col("r.end_key")
     start, end = intersection(a, b, c, d)
-    return s.join(r, overlaps(a, b, c, d)).select("s.span_id", "r.region_id", start.alias("start_key"), end.alias("end_key"), F.lit(checkpoint_ts).cast("long").alias("resolved_ts"))
+    here = both.where(overlaps(a, b, c, d)).where(F.col("block") == block_of(F.coalesce(F.greatest(a, c), F.lit("")), cuts))
+    return here.select(F.col("span.id").alias("span_id"), F.col("r.id").alias("region_id"), start.alias("start_key"), end.alias("end_key"), F.lit(checkpoint_ts).cast("long").alias("resolved_ts"))
 
 
 def contained(spans: DataFrame, parents: DataFrame) -> DataFrame:
-    """The spans that lie within one parent as a whole; empty and reversed spans fail the query."""
-    ok = F.when(~present(F.col("end_key")) | (F.col("start_key") < F.col("end_key")), F.lit(True)).otherwise(F.raise_error(F.lit("a span must start before its end")).cast("boolean"))
-    s, p = spans.where(ok).alias("s"), parents.alias("p")
-    inside = (F.col("p.start_key").isNull() | (F.col("p.start_key") <= F.col("s.start_key"))) & (
-        ~present(F.col("p.end_key")) | (present(F.col("s.end_key")) & (F.col("s.end_key") <= F.col("p.end_key")))
-    )
-    return s.join(p, inside, "left_semi")
+    """The spans that lie within one parent as a whole; empty and reversed spans fail the query.
+
+    Of the parents that start at or before a span, which may overlap, the one that reaches furthest decides. Parents go to every
+    block of keys that they meet and are swept there with the spans' starts.
+    """
+    ok = F.when(~present(F.col("end_key")) | F.col("start_key").isNull() | (F.col("start_key") < F.col("end_key")), F.lit(True)).otherwise(F.raise_error(F.lit("a span must start before its end")).cast("boolean"))
+    cuts = cuts_of(parents.select("start_key"))
+    reach = F.struct((~present(F.col("end_key"))).alias("open"), F.col("end_key").alias("end"))
+    row = F.struct(*[F.col(f"`{c}`") for c in spans.columns])
+    kept = spans.select(row.alias("r")).schema["r"].dataType
+    key = F.coalesce("start_key", F.lit("")).alias("key")
+    part = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+    known = parents.select("start_key", reach.alias("reach"), F.explode(blocks_met(F.col("start_key"), F.col("end_key"), cuts)).alias("block")).select("block", part, key, F.lit(0).alias("kind"), "reach", F.lit(None).cast(kept).alias("row"))
+    asked = spans.where(ok).select(block_of(key, cuts).alias("block"), F.pmod(F.xxhash64(row), F.lit(SALTS)).cast("int").alias("salt"), key, F.lit(1).alias("kind"), F.lit(None).cast(known.schema["reach"].dataType).alias("reach"), row.alias("row"))
+    order = Window.partitionBy("block", "salt").orderBy("key", "kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    swept = known.unionByName(asked).withColumn("reach", F.max("reach").over(order)).where("row is not null and reach is not null").select("row.*", "reach")
+    return swept.where(F.col("reach.open") | (present(F.col("end_key")) & (F.col("end_key") <= F.col("reach.end")))).drop("reach")
 
 
 def handle_splits(spark: SparkSession, n: int) -> DataFrame:

@@ -82,12 +82,19 @@ _RESOLVED_PART = """,
 resolved as (
   select tick, region_id, 5000 * (tick + 1) - 100 - 7 * region_id - (case when region_id % 4 = 0 and tick % 5 = 4 then 6000 else 0 end) as resolved_ts
   from (select distinct cast(floor(event_id / 500.0) as bigint) as tick from events), (select region_id from regions)
+  where not ((region_id * 7 + tick * 3) % 11 = 4 or (region_id % 9 = 2 and tick < 2))
 ),
 progress as (
   select *, max(resolved_ts) over w as effective_ts, max(resolved_ts) over (w rows between unbounded preceding and 1 preceding) as before
   from resolved window w as (partition by region_id order by tick)
 ),
-front as (select tick, min(effective_ts) as frontier from progress group by tick),
+front as (
+  select tick, min(top) as frontier from (
+    select t.tick, r.region_id, max(x.resolved_ts) as top
+    from (select distinct tick from resolved) t cross join (select distinct region_id from resolved) r
+    left join resolved x on x.region_id = r.region_id and x.tick <= t.tick group by t.tick, r.region_id)
+  group by tick having count(top) = count(*)
+),
 topped as (select *, max(frontier) over (order by tick rows between unbounded preceding and 1 preceding) as top from front),
 rises as (
   select tick, frontier as resolved_ts, tick - lag(tick) over (order by tick) as ticks_since from topped
@@ -214,8 +221,8 @@ ORACLES: dict[str, str] = {
     "restart_min_ts": _with(
         _RESOLVED + _SPANS,
         """select d.span_id as error_id, d.region_id, least(e.resolved_ts, f.first_ts) as restart_ts from divided d
-        join (select * from resolved where tick = 2) e on e.region_id = d.span_id
-        join (select span_id, arg_min(resolved_ts, region_id) as first_ts from divided join (select * from resolved where tick = 2) using (region_id) group by span_id) f on f.span_id = d.span_id""",
+        join (select region_id, arg_max(resolved_ts, tick) as resolved_ts from resolved where tick <= 2 group by region_id) e on e.region_id = d.span_id
+        join (select span_id, arg_min(resolved_ts, region_id) as first_ts from divided join (select region_id, arg_max(resolved_ts, tick) as resolved_ts from resolved where tick <= 2 group by region_id) using (region_id) group by span_id) f on f.span_id = d.span_id""",
     ),
     "handle_space_splits": """select i as split,
         case when i > 0 then cast(-9223372036854775808::hugeint + d * i as bigint) end as low,

@@ -46,8 +46,7 @@ def key_range_filter(spark, sf_dir):
 @query
 def region_assign(spark, sf_dir):
     keys = log(spark, sf_dir).where("log_type = 'COMMIT'").select("seq", "key")
-    regions = derived.key_regions(spark, sf_dir).select("region_id", "start_key", "end_key")
-    return keys.join(regions, (F.col("key") >= F.col("start_key")) & (F.col("key") < F.col("end_key"))).select("seq", "key", "region_id")
+    return ranges.locate(keys, "key", derived.key_regions(spark, sf_dir)).select("seq", "key", "region_id")
 
 
 def _cases(spark, sf_dir, *cases):
@@ -148,7 +147,7 @@ def slowest_range(spark, sf_dir):
 
 
 def as_of_frontier(spark, sf_dir):
-    series = frontier.advances(frontier.region_frontier(resolved(spark, sf_dir))).select((F.col("tick") * 8000 + 7000).alias("from_seq"), "resolved_ts")
+    series = frontier.rises(frontier.region_frontier(resolved(spark, sf_dir))).select((F.col("tick") * 8000 + 7000).alias("from_seq"), "resolved_ts")
     return frontier.with_frontier(changelog(spark, sf_dir).select(*CHANGE), series)
 
 
@@ -161,7 +160,7 @@ def late_filter_asof(spark, sf_dir):
 @query
 def commit_ts_violations(spark, sf_dir):
     rows = matcher.in_range(log(spark, sf_dir), derived.key_regions(spark, sf_dir)).where("log_type in ('COMMIT', 'COMMITTED')")
-    series = frontier.advances(frontier.region_frontier(resolved(spark, sf_dir))).select((F.col("tick") * 8000 + 7000).alias("from_seq"), "resolved_ts")
+    series = frontier.rises(frontier.region_frontier(resolved(spark, sf_dir))).select((F.col("tick") * 8000 + 7000).alias("from_seq"), "resolved_ts")
     rows = frontier.with_frontier(rows.select("seq", "region_id", "log_type", "commit_ts"), series, at="seq")
     return delivery.resolved_violations(rows)
 
@@ -232,7 +231,7 @@ def epoch_redivide(spark, sf_dir):
 
 @query
 def restart_min_ts(spark, sf_dir):
-    last = resolved(spark, sf_dir).where("tick = 2").select("region_id", "resolved_ts")
+    last = resolved(spark, sf_dir).where("tick <= 2").groupBy("region_id").agg(F.max_by("resolved_ts", "tick").alias("resolved_ts"))
     errors = last.select(F.col("region_id").alias("error_id"), "resolved_ts")
     divided = ranges.divide(spans(spark, sf_dir), derived.key_regions(spark, sf_dir)).select(F.col("span_id").alias("error_id"), "region_id")
     return ranges.restart_ts(errors, divided.join(last, "region_id"))

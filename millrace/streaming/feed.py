@@ -9,16 +9,18 @@ followed under other names, since its keys stay where they are.
 
 from __future__ import annotations
 
-from bisect import bisect_left
 from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from millrace.functions.scalar import operate_type
 from millrace.model import COMMIT, COMMITTED, INITIALIZED, JOINED, MAX_TS, PREWRITE, RESOLVED, ROLLBACK, STOPPED, log_schema
+from millrace.operators.frontier import assign
+from millrace.operators.sweep import block_of, blocks_met
+from millrace.streaming.matcher import change_schema
 
 REGION_MARKS = (JOINED, INITIALIZED, RESOLVED, STOPPED)
 CHANGE, RESOLVED_ROW = "change", "resolved"
@@ -36,36 +38,10 @@ def feed_schema(value: T.DataType) -> T.StructType:
     return log_schema(T.StringType(), value).add("end_key", "string")
 
 
-def range_splits(regions: DataFrame, n: int) -> list[str]:
-    """Keys that cut the ranges of ``regions`` into ``n`` buckets of about as many regions at most; the driver holds these alone."""
-    dealt = regions.select(F.coalesce("start_key", F.lit("")).alias("k")).repartitionByRange(n, "k")
-    lows = dealt.groupBy(F.spark_partition_id()).agg(F.min("k").alias("k")).collect()
-    return sorted({r.k for r in lows})[1:]
-
-
-def _below(splits: list[str], key: Column, strictly: bool = False) -> Column:
-    """How many of the splits are at or below (``strictly``: below) a key: the number of its bucket."""
-    if not splits:
-        return F.lit(0)
-    return F.size(F.filter(F.array(*map(F.lit, splits)), lambda p: p < key if strictly else p <= key))
-
-
 def by_range(log: DataFrame, splits: list[str]) -> DataFrame:
-    """Rows with the bucket of their key; marks go to every bucket that their region meets."""
-    first, key, end = F.col("log_type").isin(*REGION_MARKS), F.coalesce("key", F.lit("")), F.col("end_key")
-    last = F.when(end.isNull() | (end == ""), F.lit(len(splits))).otherwise(_below(splits, end, strictly=True))
-    low = _below(splits, key)
-    return log.withColumn("bucket", F.explode(F.when(first, F.sequence(low, F.greatest(low, last))).otherwise(F.array(low))))
-
-
-def assign(starts: list[str], values: list[int], start: str, end: str, ts: int) -> None:
-    """Set the value of [start, end) in an interval map of sorted starts; boundaries strictly inside go, an empty end is open."""
-    i, j = bisect_left(starts, start), bisect_left(starts, end) if end else len(starts)
-    new_starts, new_values = [start], [ts]
-    if end and (j == len(starts) or starts[j] != end):
-        new_starts.append(end)
-        new_values.append(values[j - 1])
-    starts[i:j], values[i:j] = new_starts, new_values
+    """Rows with the bucket of their key; marks go to every bucket that their region meets. ``sweep.cuts_of`` finds splits."""
+    mark = F.col("log_type").isin(*REGION_MARKS)
+    return log.withColumn("bucket", F.explode(F.when(mark, blocks_met(F.col("key"), F.col("end_key"), splits)).otherwise(F.array(block_of(F.col("key"), splits)))))
 
 
 class Blocks:
@@ -328,8 +304,6 @@ def _has(value) -> bool:
 
 def stream_range_changes(log: DataFrame, splits: list[str], salts: int = 1, width: int = 1 << 14) -> DataFrame:
     """The changelog of a streamed log by key range. ``salts`` deals the keys of a bucket over as many states, each of which sees its marks."""
-    from millrace.streaming.matcher import change_schema
-
     value = log.schema["new_value"].dataType
     rows, mark = by_range(log, splits), F.col("log_type").isin(*REGION_MARKS)
     own = F.array(F.pmod(F.xxhash64("key"), F.lit(salts)).cast("int"))

@@ -10,6 +10,8 @@ import pytest
 from pyspark.sql import types as T
 
 from millrace.model import COMMIT, COMMITTED, INITIALIZED, JOINED, PREWRITE, RESOLVED, ROLLBACK, STOPPED
+from millrace.operators.frontier import assign
+from millrace.operators.sweep import cuts_of
 from millrace.streaming import feed
 from millrace.streaming.sinks import deliver_until
 
@@ -286,7 +288,7 @@ def test_query_stops_behind_its_end(spark, tmp_path):
 
 def test_splits_of_regions(spark):
     regions = spark.createDataFrame([(i, f"{i:03}" if i else None, f"{i + 1:03}") for i in range(100)], "region_id long, start_key string, end_key string")
-    splits = feed.range_splits(regions, 4)
+    splits = cuts_of(regions.select("start_key"), 4)
     assert splits == sorted(set(splits)) and 1 <= len(splits) <= 3
     rows = spark.createDataFrame([row(1, 1, COMMITTED, key=k) for k in ("", "000", splits[0], "999")] + [row(2, 1, JOINED, key="", end=splits[0]), row(3, 1, JOINED, key="000", end="")], SCHEMA)
     found = sorted((r.seq, r.key, r.bucket) for r in feed.by_range(rows, splits).collect())
@@ -301,7 +303,7 @@ def test_interval_map_equals_plain_keys():
     for n in range(1, 300):
         a, b = sorted(rng.sample(["", *KEYS, "zz"], 2))
         end = "" if b == "zz" else b
-        feed.assign(starts, values, a, end, n)
+        assign(starts, values, a, end, n)
         plain.update({k: n for k in plain if k >= a and (not end or k < end)})
         assert starts == sorted(set(starts))
         assert all(values[bisect_right(starts, k) - 1] == v for k, v in plain.items())

@@ -1,8 +1,12 @@
+import random
+
 import duckdb
 import pytest
+from pyspark.sql import Row
 
 from millrace.model import MAX_TS
 from millrace.operators import frontier, ranges
+from millrace.operators.sweep import cuts_of, prefix_max, running_max
 from millrace.plans.oracles import ORACLES
 from millrace.plans.queries import QUERIES
 from millrace.sources import derived
@@ -92,7 +96,7 @@ def test_whole_log_equals_unbounded_sql(spark, name):
 def test_repeated_changes_keep_their_number(spark):
     changes = spark.createDataFrame([(n, "k") for n in (1, 5, 5, 9, 12, 12, 12)], "emit_seq long, key string")
     series = spark.createDataFrame([(4, 40), (9, 90)], "from_seq long, resolved_ts long")
-    found = frontier.with_frontier(changes, series, width=4).collect()
+    found = frontier.with_frontier(changes, series).collect()
     assert sorted(map(tuple, found)) == [(1, "k", -1), *[(5, "k", 40)] * 2, (9, "k", 90), *[(12, "k", 90)] * 3]
 
 
@@ -103,3 +107,96 @@ def test_standstill_is_reported():
         now[0] = float(t)
         listener.observe("q", "feed", rows)
     assert told == [("feed", 61.0)]
+
+
+def test_silent_regions_hold_the_frontier(spark):
+    rows = [(1, 1, 10), (1, 2, 5), (2, 1, 20), (3, 1, 30), (3, 2, 6)]
+    log = spark.createDataFrame(rows, "tick long, region_id long, resolved_ts long")
+    found = frontier.region_frontier(log)
+    assert sorted(map(tuple, found.collect())) == [(1, 5), (2, 5), (3, 6)]
+    assert sorted(map(tuple, frontier.advances(found).collect())) == [(1, 5, None), (3, 6, 2)]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_sparse_frontier_equals_a_plain_minimum(spark, seed):
+    """Silent and late regions, falls, ties, gaps between ticks."""
+    rng = random.Random(seed)
+    ticks, regions = sorted(rng.sample(range(200_000), 60)), range(7)
+    rows = [(t, r, 5 * i + rng.randrange(-40, 5)) for i, t in enumerate(ticks) for r in regions if rng.random() < (0.1 if r == 3 else 0.5) and not (r == 5 and i < 10)]
+    want, last = [], {}
+    for t in sorted({t for t, _, _ in rows}):
+        for _, r, ts in (x for x in rows if x[0] == t):
+            last[r] = max(ts, last.get(r, ts))
+        if len(last) == len(regions):
+            want.append((t, min(last.values())))
+    found = frontier.region_frontier(spark.createDataFrame(rows, "tick long, region_id long, resolved_ts long"))
+    assert sorted(map(tuple, found.collect())) == want
+    rises = [(t, f) for i, (t, f) in enumerate(want) if f > 0 and (i == 0 or f > want[i - 1][1])]
+    assert sorted((r.tick, r.resolved_ts, r.ticks_since) for r in frontier.advances(found).collect()) == [(t, f, t - rises[i - 1][0] if i else None) for i, (t, f) in enumerate(rises)]
+
+
+def plain_map(rows):
+    """The interval map by assignment, one forward after the other."""
+    found = {}
+    for start, end, ts in rows:
+        below = [k for k in found if k <= end]
+        kept = found[max(below)] if below else MAX_TS
+        found = {k: v for k, v in found.items() if not start < k < end}
+        found.setdefault(end, kept)
+        found[start] = ts
+    return sorted(found.items())
+
+
+@pytest.mark.parametrize("blocks", [1, 4, 40])
+def test_random_interval_maps(spark, blocks, monkeypatch):
+    monkeypatch.setattr(frontier, "cuts_of", lambda keys: cuts_of(keys, blocks))
+    rng = random.Random(blocks)
+    keys = [f"{i:02}" for i in range(30)]
+    rows = [("00", "29", 0)] + [(*sorted(rng.sample(keys, 2)), rng.randrange(100)) for _ in range(60)]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "seq long, start_key string, end_key string, ts long")
+    assert sorted(map(tuple, frontier.segments(df).collect())) == plain_map(rows)
+
+
+@pytest.mark.parametrize("blocks", [1, 5])
+def test_range_joins_equal_nested_loops(spark, blocks, monkeypatch):
+    """Points, overlapping spans and open ends against regions with gaps."""
+    monkeypatch.setattr(ranges, "cuts_of", lambda keys: cuts_of(keys, blocks))
+    rng = random.Random(blocks)
+    bounds = sorted(f"{i:03}" for i in rng.sample(range(1000), 41))
+    regions = [(i, a if i else None, b) for i, (a, b) in enumerate(zip(bounds, bounds[1:], strict=False)) if i % 7 != 3] + [(99, bounds[-1], "")]
+    holds = lambda s, e, k: (s is None or s <= k) and (not e or k < e)
+    points = [(i, f"{rng.randrange(1000):03}") for i in range(300)] + [(900, "500")] * 50 + [(1, ""), (2, None)]
+    r = spark.createDataFrame(regions, "region_id long, start_key string, end_key string")
+    found = ranges.locate(spark.createDataFrame(points, "n long, key string"), "key", r).collect()
+    assert sorted(map(tuple, found)) == sorted((n, k, i) for n, k in points if k is not None for i, s, e in regions if holds(s, e, k))
+    spans = [(i, *sorted(f"{x:03}" for x in rng.sample(range(1000), 2))) for i in range(40)] + [(50, None, "300"), (51, "300", None), (52, "", ""), (53, bounds[0], bounds[1]), (54, bounds[5], bounds[6])]
+    cut = ranges.divide(spark.createDataFrame(spans, "span_id long, start_key string, end_key string"), r).collect()
+    top = lambda e: e or "~"
+    want = [(i, n, max(s or "", a or ""), min(top(e), top(b))) for i, s, e in spans for n, a, b in regions if max(s or "", a or "") < min(top(e), top(b))]
+    assert sorted((c.span_id, c.region_id, c.start_key or "", top(c.end_key)) for c in cut) == sorted(want)
+    parents = [(i, *sorted(f"{x:03}" for x in rng.sample(range(1000), 2))) for i in range(12)] + [(20, None, "050"), (21, "970", None)]
+    kept = ranges.contained(spark.createDataFrame(spans, "span_id long, start_key string, end_key string"), spark.createDataFrame(parents, "p long, start_key string, end_key string")).collect()
+    inside = lambda s, e: any((a or "") <= (s or "") and (not b or (e and e <= b)) for _, a, b in parents)
+    assert sorted(k.span_id for k in kept) == sorted(i for i, s, e in spans if inside(s, e))
+
+
+@pytest.mark.parametrize("width", [1, 7, 1 << 16])
+def test_running_and_prefix_maxima(spark, width):
+    rng = random.Random(width)
+    points, marks = [(rng.randrange(400), i) for i in range(200)] + [(5, 1)] * 20, [(rng.randrange(50, 350), rng.randrange(1000)) for _ in range(30)]
+    m = spark.createDataFrame(marks, "at long, v long")
+    got = running_max(spark.createDataFrame(points, "p long, i long"), "p", m, "at", m.v, "top", width, 3).collect()
+    assert sorted(map(str, got)) == sorted(str(Row(p=p, i=i, top=max((v for at, v in marks if at <= p), default=None))) for p, i in points)
+    got = prefix_max(m, "at", m.v, "top", width).collect()
+    assert sorted(map(str, got)) == sorted(str(Row(at=a, v=v, top=max((w for b, w in marks if b < a), default=None))) for a, v in marks)
+
+
+PLANS = ["region_assign", "region_division", "range_contains", "restart_min_ts", "region_recovery", "frontier_segments", "slowest_range", "late_filter_asof", "commit_ts_violations", "changelog_ordered"]
+
+
+@pytest.mark.parametrize("name", PLANS)
+def test_plans_have_no_nested_loop(spark, name):
+    plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    if name == "changelog_ordered":
+        assert plan.count("Exchange hashpartitioning") <= 8
