@@ -110,7 +110,7 @@ def project(rows: DataFrame, model: Whitening, *keep: str) -> DataFrame:
             far = max(abs(int(diff.min(initial=0))), abs(int(diff.max(initial=0))))
             exact = diff if diff.shape[1] * far * far < _FITS else diff.astype(object)
             whole = [int(s) if s < 1 << 63 else None for s in (exact * exact).sum(1)] if len(diff) else []
-            out = batch[list(keep)].copy()
+            out = batch[list(keep)].astype(object)
             out["deviation"] = pd.array(whole, "Int64")
             out["whitened"] = [[float(v) if on else None for v, on in zip(r, m.values > 0, strict=True)] for r in white]
             yield out
