@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def memcomparable_hex(raw: Column) -> Column:
@@ -69,3 +70,76 @@ def table_range(table_id: Column) -> tuple[Column, Column]:
     number = F.unhex(F.lpad(F.hex(table_id.bitwiseXOR(F.lit(-(1 << 63)))), 16, "0"))
     at = lambda mark: F.concat(F.encode(F.lit("t"), "UTF-8"), number, F.encode(F.lit(mark), "UTF-8"))
     return at("_r"), at("_s")
+
+
+#: Fixed first bytes of the parts of a composite key.
+NIL, BYTES, INT, UINT = "00", "01", "03", "04"
+_WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+_SIGN = -(1 << 63)
+
+
+def _eight(number: Column) -> Column:
+    return F.lpad(F.hex(number), 16, "0")
+
+
+def _part(value: Column, kind: T.DataType) -> Column:
+    if isinstance(kind, _WHOLE):
+        body = F.concat(F.lit(INT), _eight(value.cast("long").bitwiseXOR(F.lit(_SIGN))))
+    elif isinstance(kind, (T.StringType, T.BinaryType)):
+        body = F.concat(F.lit(BYTES), memcomparable_hex(value))
+    elif isinstance(kind, (T.TimestampNTZType, T.DateType)):
+        body = F.concat(F.lit(UINT), _eight(pack_datetime(value.cast("timestamp_ntz"))))
+    else:
+        raise ValueError(f"{kind.simpleString()} can't be part of a key")
+    return F.coalesce(body, F.lit(NIL))
+
+
+def encode_key(columns: dict[str, T.DataType]) -> Column:
+    """A composite key as bytes that sort like its columns, nulls first: each part is its kind and an order-preserving form.
+
+    ``columns`` are names and types: whole numbers, text, bytes, dates and times without a zone.
+    """
+    return F.unhex(F.concat(*[_part(F.col(f"`{name}`"), kind) for name, kind in columns.items()]))
+
+
+def decode_key(rows: DataFrame, key: str, schema: T.StructType) -> DataFrame:
+    """``rows`` with a column for each field of ``schema``, read from the composite key in the column ``key``.
+
+    Parts have no common length, so the key is walked: each part begins where the one before ended. Text ends with the first
+    group of eight bytes that isn't full. A part of another kind than its field's, and bytes that are left over or
+    missing, fail the query; of a null key all columns are null.
+    """
+    kinds = F.array(*[F.struct(F.lit(f.name).alias("name"), F.lit(_kind(f.dataType)).alias("mark")) for f in schema.fields])
+    start = F.struct(F.hex(F.col(key)).alias("rest"), F.array().cast("array<string>").alias("parts"))
+
+    def step(walk: Column, kind: Column) -> Column:
+        body = _body(walk["rest"], kind)
+        return F.struct(F.substring(walk["rest"], F.length(body) + 3, F.length(walk["rest"])).alias("rest"), F.array_append(walk["parts"], body).alias("parts"))
+
+    left = F.raise_error(F.lit("bytes behind the key's last column")).cast("array<string>")
+    parts = F.aggregate(kinds, start, step, lambda w: F.when(w["rest"].isNull(), F.lit(None)).when(w["rest"] == "", w["parts"]).otherwise(left))
+    walked = rows.withColumn("_key_parts", parts)
+    values = {f.name: _value(F.get("_key_parts", F.lit(i)), f.dataType) for i, f in enumerate(schema.fields)}
+    return walked.withColumns(values).drop("_key_parts")
+
+
+def _kind(kind: T.DataType) -> str:
+    return BYTES if isinstance(kind, (T.StringType, T.BinaryType)) else INT if isinstance(kind, _WHOLE) else UINT
+
+
+def _body(rest: Column, kind: Column) -> Column:
+    """The hex digits of the part that ``rest`` begins with, without its mark; empty for a null."""
+    behind = F.substring(rest, F.lit(3), F.length(rest))
+    # A full group ends with FF.
+    body = F.when(kind["mark"] == BYTES, F.regexp_extract(behind, "^((?:.{16}FF)*+.{18})", 1)).otherwise(F.substring(behind, F.lit(1), F.lit(16)))
+    wrong = F.raise_error(F.concat(F.lit("no part of the kind of "), kind["name"])).cast("string")
+    mark = F.substring(rest, F.lit(1), F.lit(2))
+    return F.when(mark == NIL, F.lit("")).when((mark == kind["mark"]) & (F.length(behind) >= 16), body).when(rest.isNotNull(), wrong)
+
+
+def _value(part: Column, kind: T.DataType) -> Column:
+    digits = F.nullif(part, F.lit(""))
+    number = F.conv(digits, 16, -10).cast("long")
+    if _kind(kind) == BYTES:
+        return from_memcomparable(F.unhex(digits)).cast(kind)
+    return number.bitwiseXOR(F.lit(_SIGN)).cast(kind) if _kind(kind) == INT else packed_datetime(number).cast(kind)

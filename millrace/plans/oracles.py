@@ -143,6 +143,10 @@ asof_rows as (
   from {source} asof left join (select tick * 8000 + 7000 as from_seq, resolved_ts from rises) r on {at} >= r.from_seq
 )"""
 
+#: Text in groups of eight bytes, each with a byte that is FF less its padding; ASCII only.
+_GROUPS = """array_to_string(list_transform(range(0, length({0}) // 8 + 1), lambda g:
+    rpad(hex({0}[8 * g + 1 : 8 * g + 8]), 16, '0') || hex(255 - (8 - length({0}[8 * g + 1 : 8 * g + 8])))), '')"""
+
 ORACLES: dict[str, str] = {
     "op_classify": _with(
         _LOG,
@@ -313,6 +317,14 @@ ORACLES: dict[str, str] = {
         _TRANSACTIONS,
         """select distinct key, hex(key) || 'FF' || '0000000000000000F7' as encoded, hex(key) || 'FF' || hex(op[1]) || '00000000000000F8' as longer_encoded, key || op[1] as longer from t""",
     ),
+    "composite_key_decode": f"""
+        with c as (select c_custkey, case when c_custkey % 11 <> 0 then c_mktsegment end as segment, c_name as name, 3 - c_custkey as number, c_custkey % 60 as second from customer)
+        select c_custkey,
+            coalesce('01' || {_GROUPS.format("segment")}, '00') || '03' || lpad(hex((number::hugeint + 9223372036854775808)::ubigint), 16, '0')
+            || '04' || lpad(hex((((((2000 * 13 + 1)::bigint << 5) + 1) << 17) | second) << 24), 16, '0') || '01' || {_GROUPS.format("name")} as encoded,
+            segment, number, '2000-01-01 00:00:' || lpad(second::varchar, 2, '0') as at, name
+        from c
+    """,
     "snapshot_latest": _with(
         _RANGED,
         """select key, new_value, commit_ts from changes qualify row_number() over (partition by key order by commit_ts desc, start_ts desc) = 1 and operate_type <> 'Delete'""",

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.functions import codecs, scalar
 from millrace.operators import delivery, diagnostics, frontier, matcher, ranges
@@ -414,6 +415,17 @@ def memcomparable_hex(spark, sf_dir):
     return keys.select("key", codecs.memcomparable_hex(F.col("key")).alias("encoded"), codecs.memcomparable_hex(F.col("longer")).alias("longer_encoded"), back.cast("string").alias("longer"))
 
 
+@query
+def composite_key_decode(spark, sf_dir):
+    """Keys of text of any length, a date and numbers: their order-preserving bytes, and what is read back from them."""
+    at = F.expr("make_timestamp_ntz(2000, 1, 1, 0, 0, c_custkey % 60)")
+    rows = spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey", F.when(F.col("c_custkey") % 11 != 0, F.col("c_mktsegment")).alias("segment"), F.col("c_name").alias("name"), (F.lit(3) - F.col("c_custkey")).alias("number"), at.alias("at"))
+    schema = T.StructType().add("segment", "string").add("number", "long").add("at", "timestamp_ntz").add("name", "string")
+    keys = rows.select("c_custkey", codecs.encode_key({f.name: f.dataType for f in schema.fields}).alias("raw"))
+    back = codecs.decode_key(keys, "raw", schema)
+    return back.select("c_custkey", F.hex("raw").alias("encoded"), "segment", "number", F.date_format("at", "yyyy-MM-dd HH:mm:ss").alias("at"), "name")
+
+
 @query
 def snapshot_latest(spark, sf_dir):
     return matcher.snapshot(changelog(spark, sf_dir))

@@ -1,8 +1,12 @@
 import json
 import random
+import sys
+import types
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.datasource import EqualTo, GreaterThan, GreaterThanOrEqual, In, LessThan, LessThanOrEqual
 from scan_pages import factory
 
 from millrace.functions import codecs
@@ -11,7 +15,7 @@ from millrace.model import ClientError, Options
 from millrace.operators.delivery import oversize
 from millrace.operators.ranges import recovered
 from millrace.sources.files import read_log, stream_log, write_changes
-from millrace.sources.scan import ChangeFeedSource, KeyRangeSource, paged_scan, retried
+from millrace.sources.scan import ChangeFeedSource, KeyRangeSource, _FeedReader, _Pushing, paged_scan, retried
 from millrace.sources.tables import described, key_columns
 
 
@@ -130,3 +134,109 @@ def test_sizes_are_bytes(spark):
     df = spark.createDataFrame([("é", "ab", None)], "key string, new_value string, old_value string")
     r = oversize(df, Options(max_row_bytes=3)).first()
     assert (r.row_bytes, r.oversize) == (4, True)
+
+
+def pages_asked(filters, regions, **options):
+    """The rows of a scan, and the (region, start) of every page that it asked for."""
+    import scan_pages
+
+    asked = []
+
+    def factory(region):
+        pages = scan_pages.factory(region)
+
+        def run(start, n):
+            asked.append((region.region_id, start))
+            found, end = pages(start, n)
+            return [(k, v, int(k[1:])) for k, v in found], end
+
+        return run
+
+    module = types.ModuleType("counted_pages")
+    module.factory = factory
+    sys.modules["counted_pages"] = module
+    reader = _Pushing({"pages": "counted_pages:factory", "regions": json.dumps(regions), "page_size": 5, "versions": "1", **options})
+    assert list(reader.pushFilters(filters)) == filters
+    parts = reader.partitions()
+    return [r for p in parts for r in reader.read(p)], asked, parts
+
+
+REGIONS = [{"region_id": 1, "start": "", "end": b"k050".hex()}, {"region_id": 2, "start": b"k050".hex(), "end": "", "checkpoint_ts": 60}]
+
+
+def test_filters_reach_the_pages():
+    every, asked, parts = pages_asked([], REGIONS)
+    assert [r[3] for r in every] == [*range(50), *range(61, 100)] and len(parts) == 2
+    one, few, parts = pages_asked([EqualTo(("key",), b"k007")], REGIONS)
+    assert [r[1] for r in one] == [b"k007"] and few == [(1, b"k007")] and len(few) < len(asked) and len(parts) == 1
+    some, few, parts = pages_asked([GreaterThan(("key",), b"k046"), LessThanOrEqual(("key",), b"k052")], REGIONS)
+    assert {r[1] for r in some} == {b"k047", b"k048", b"k049"} and len(parts) == 2 and few[0] == (1, b"k046\0") and len(few) == 2
+    some, few, _ = pages_asked([GreaterThanOrEqual(("commit_ts",), 90), In(("region_id",), (2, 7))], REGIONS)
+    assert [r[3] for r in some] == list(range(90, 100)) and {r for r, _ in few} == {2}
+    none, few, _ = pages_asked([LessThan(("key",), b"k010"), GreaterThanOrEqual(("key",), b"k010")], REGIONS)
+    assert none == few == []
+    assert pages_asked([LessThan(("key",), b"")], REGIONS)[:2] == ([], [])
+
+
+def test_pushed_filters_in_spark(spark):
+    spark.dataSource.register(KeyRangeSource)
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", True)
+    try:
+        plain = [{k: v for k, v in r.items() if k != "checkpoint_ts"} for r in REGIONS]
+        df = spark.read.format("keyrange").option("pages", "scan_pages:factory").option("regions", json.dumps(plain)).option("page_size", 9).option("pushdown", 1).load()
+        found = df.where("key >= X'6B303438' and key < X'6B303532'")
+        assert sorted(bytes(r.key) for r in found.collect()) == [b"k048", b"k049", b"k050", b"k051"]
+        assert df.where("region_id = 2").rdd.getNumPartitions() == 1 and df.where("region_id = 2").count() == 50
+        assert df.where("region_id = 9").count() == 0
+    finally:
+        spark.conf.unset("spark.sql.python.filterPushdown.enabled")
+
+
+def test_new_regions_begin_where_their_parents_are(tmp_path):
+    class Split:
+        live = [1, 2]
+
+        def regions(self):
+            return self.live
+
+        def parents(self, region):
+            return {3: [1], 4: [1], 5: [3, 2], 6: [5, 99]}.get(region, [])
+
+        def ready(self, region, after):
+            return [(ts, 1) for ts in range(after + 1, after + 11)]
+
+    rows = tmp_path / "rows"
+    rows.write_text("")
+    reader = _FeedReader({"feed": "feed_rows:factory", "rows": str(rows), "start_ts": "100"})
+    reader.feed = Split()
+    assert reader.latestOffset() == {"1": 110, "2": 110}
+    reader.feed.live = [2, 3, 4]
+    upto = reader.latestOffset()
+    assert upto == {"1": 110, "2": 120, "3": 120, "4": 120}
+    parts = reader.partitions({"1": 110, "2": 110}, upto)
+    assert [(p.region_id, p.after, p.upto) for p in parts] == [(2, 110, 120), (3, 110, 120), (4, 110, 120)]
+    reader.feed.live = [4, 5]
+    assert reader.latestOffset()["5"] == 130  # from 120, the least of regions 3 and 2
+    assert [(p.region_id, p.after) for p in reader.partitions(upto, reader.now)] == [(4, 120), (5, 120)]
+    reader.feed.live = [6]
+    assert reader.latestOffset()["6"] == 110  # a parent that nothing is known of: from the start
+
+
+def test_composite_keys(spark):
+    """Random keys sort like their columns, come back whole, and are refused if they are broken."""
+    rng = random.Random(2)
+    text = lambda: "".join(rng.choice("ab\0é") for _ in range(rng.choice([0, 1, 7, 8, 9, 16, 40])))
+    rows = [(text() if rng.random() < 0.9 else None, rng.choice([0, -1, 1, -(1 << 63), (1 << 63) - 1, None, rng.randrange(-99, 99)]), bytearray(rng.randbytes(rng.choice([0, 3, 8, 12]))), rng.randrange(-9, 9)) for _ in range(300)]
+    schema = T.StructType().add("t", "string").add("n", "long").add("b", "binary").add("i", "integer")
+    frame = spark.createDataFrame(rows, schema)
+    keys = frame.select("*", codecs.encode_key({f.name: f.dataType for f in schema.fields}).alias("key"))
+    order = lambda r: tuple((x is not None, x.encode() if isinstance(x, str) else bytes(x) if isinstance(x, (bytes, bytearray)) else x or 0) for x in r)
+    got = keys.collect()
+    assert [tuple(r)[:4] for r in sorted(got, key=lambda r: bytes(r.key))] == sorted((tuple(r)[:4] for r in got), key=order)
+    back = codecs.decode_key(keys.select("key"), "key", schema).select(*schema.names).collect()
+    assert sorted(map(str, map(tuple, back))) == sorted(str(tuple(r)[:4]) for r in got)
+    for broken, message in (("0380000000000000", "no part of the kind"), ("04" + "80" + "00" * 7, "no part of the kind"), ("03" + "80" + "00" * 7 + "00", "bytes behind"), ("", "no part of the kind")):
+        with pytest.raises(Exception, match=message):
+            codecs.decode_key(spark.createDataFrame([(bytearray.fromhex(broken),)], "k binary"), "k", T.StructType().add("n", "long")).collect()
+    with pytest.raises(ValueError, match="can't be part of a key"):
+        codecs.encode_key({"x": T.DoubleType()})
