@@ -7,7 +7,6 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
-from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -17,6 +16,8 @@ from millrace.llm.common import only, slices
 
 UNKNOWN = "und"
 GRAM = 4
+#: Likelihood of a gram that no dictionary has.
+UNSEEN = 1e-6
 
 
 def _grams(text: str) -> Iterator[str]:
@@ -43,8 +44,9 @@ class CompressionModel:
         grams, found = Counter(_grams(text)), []
         for lang in langs:
             counts = _gram_counts(self.dictionaries[lang])
-            total = counts.total() + 0.5 * len(counts)
-            found.append((sum(n * math.log((counts[g] + 0.5) / total) for g, n in grams.items()), any(g in counts for g in grams), lang))
+            # What isn't seen is as unlikely in a short dictionary as in a long one.
+            share = 0.9 / max(1, counts.total())
+            found.append((sum(n * math.log(counts[g] * share + UNSEEN) for g, n in grams.items()), any(g in counts for g in grams), lang))
         if any(seen for _, seen, _ in found):
             return min(found, key=lambda x: (-x[0], x[2]))[2]
         return min(langs, key=lambda x: (-self.rows.get(x, 0), x))
@@ -53,7 +55,7 @@ class CompressionModel:
         """Function from a text to (language or None, score, whether two languages or more share the smallest size)."""
         import zstandard as zstd
 
-        encoders = []
+        encoders, none = [], zstd.ZstdCompressor(level=self.level, write_content_size=False, write_checksum=False)
         for lang, raw in sorted(self.dictionaries.items()):
             known = zstd.ZstdCompressionDict(raw, dict_type=zstd.DICT_TYPE_RAWCONTENT)
             known.precompute_compress(level=self.level)
@@ -66,7 +68,9 @@ class CompressionModel:
             low = text.lower()
             raw = low.encode("utf-8", "replace")
             parts = [raw[i : i + block] for i in range(0, len(raw), block)]
-            sizes = sorted((sum(len(e.compress(p)) for p in parts), lang) for lang, e in encoders)
+            # A dictionary that misleads costs more than none: a short one, which can't, would win. So none is offered to all.
+            plain = [len(none.compress(p)) for p in parts]
+            sizes = sorted((sum(min(len(e.compress(p)), n) for p, n in zip(parts, plain, strict=True)), lang) for lang, e in encoders)
             if len(sizes) == 1:
                 return sizes[0][1], 1.0, False
             if sizes[0][0] == sizes[1][0]:
@@ -76,12 +80,12 @@ class CompressionModel:
         return classify
 
 
-def fit(labelled: DataFrame, per_language: int = 150, level: int = 5) -> CompressionModel:
+def fit(labelled: DataFrame, per_language: int = 150, level: int = 5, budget: int = 240_000) -> CompressionModel:
     """Learn a dictionary a language from a bounded sample of labelled rows (doc_id, text, lang).
 
-    The sample: about ``per_language`` rows of each language, those whose id hashes lowest, with their whole texts; this
-    number of rows is the documented bound of what reaches the driver. Of each language as many of these texts are used as come
-    to about the size of the smallest language's, so that no dictionary is better for being larger. Rows
+    The sample: about ``per_language`` rows of each language, those whose id hashes lowest, and ``budget`` characters of each at
+    most; this is the documented bound of what reaches the driver. Each language has the same budget of bytes, so that
+    no dictionary is better for being larger; a rare language's stays shorter, which changes nothing for the others. Rows
     with null text or language are never used, nor are language names equal to ``und``; an empty table gives a model
     that knows no language.
     """
@@ -92,25 +96,23 @@ def fit(labelled: DataFrame, per_language: int = 150, level: int = 5) -> Compres
     # A share of each language that holds twice the wanted number on average; all rows of a rare one.
     spread = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(17)), F.lit(1 << 30))
     limit = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1 << 30, (2 * per_language << 30) // n + 1))])
-    picked = rows.where(spread < limit[F.col("lang")]).select("lang", spread.alias("h"), "doc_id", "text").collect()
+    picked = rows.where(spread < limit[F.col("lang")]).select("lang", spread.alias("h"), "doc_id", F.substring("text", 1, budget).alias("text")).collect()
     texts: dict[str, list[bytes]] = {}
     for r in sorted(picked, key=lambda r: (r["lang"], r["h"], r["doc_id"] or 0, r["text"])):
         texts.setdefault(r["lang"], []).append(r["text"].lower().encode("utf-8", "replace"))
-    own = {lang: t[:per_language] for lang, t in texts.items() if any(t[:per_language])}
-    least = min((sum(map(len, t)) for t in own.values()), default=0)
     found: dict[str, bytes] = {}
-    for lang, t in own.items():
-        ends = [0, *accumulate(map(len, t))]
-        found[lang] = b"\n".join(t[: sum(e < least for e in ends[:-1])])
-        found[lang] *= -(-8 // len(found[lang]))  # the shortest dictionary that the library takes
+    for lang, t in texts.items():
+        own = b"\n".join(t[:per_language])[:budget]
+        if own.strip():
+            found[lang] = own * -(-8 // len(own))  # the shortest dictionary that the library takes
     return CompressionModel(found, level, rows=counts)
 
 
 def predict(docs: DataFrame, model: CompressionModel, min_margin: float = 0.0) -> DataFrame:
     """doc_id, lang_pred, score, rejected for each row; score is the margin 1 - smallest / second smallest size.
 
-    Null texts and texts without a letter get ``und`` and score 0 and are rejected, as are, with their score, those whose
-    margin is under ``min_margin`` but not 0. Texts of any length are compressed whole, in blocks. Repeated rows are
+    Null texts and texts without a letter get ``und`` and score 0 and are rejected. Texts whose margin is under ``min_margin`` but not
+    0 are rejected too, and keep the language found and their score. Texts of any length are compressed whole, in blocks. Repeated rows are
     judged alike, null and equal ids do no harm, and an empty table gives an empty result. Equal sizes say nothing (in a few words there is no match worth coding), so they are no narrow
     margin: among the languages that share the smallest size, the one whose 4-grams fit best is taken, with
     score 0.
@@ -120,10 +122,10 @@ def predict(docs: DataFrame, model: CompressionModel, min_margin: float = 0.0) -
         classify = model.classifier()
         for batch in slices(batches, "text", 8 << 20):
             found = [classify(t) for t in batch.column("text").to_pylist()]
-            langs = [lang if lang and (tied or s >= min_margin) else UNKNOWN for lang, s, tied in found]
+            langs, scores = [lang or UNKNOWN for lang, _, _ in found], [s for _, s, _ in found]
+            rejected = [lang is None or (not tied and s < min_margin) for lang, s, tied in found]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(langs, pa.string()), pa.array([s for _, s, _ in found], pa.float64()), pa.array([x == UNKNOWN for x in langs], pa.bool_())],
-                ["doc_id", "lang_pred", "score", "rejected"],
+                [batch.column("doc_id"), pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(rejected, pa.bool_())], ["doc_id", "lang_pred", "score", "rejected"]
             )
 
     return only(docs, "doc_id", "text").mapInArrow(run, docs.select("doc_id").schema.add("lang_pred", "string").add("score", "double").add("rejected", "boolean"))

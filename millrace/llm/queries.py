@@ -54,10 +54,14 @@ def held_out() -> F.Column:
     return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2
 
 
+#: Texts whose languages are closer than this are rejected (but no exact ties), as are those without a letter.
+MIN_MARGIN = 0.002
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = langid.fit(docs.where(~held_out()))
-    found = langid.predict(docs, model)
+    found = langid.predict(docs, model, MIN_MARGIN)
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "rejected")
 
 

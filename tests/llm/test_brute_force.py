@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import math
 import random
+import zlib
 
 import numpy as np
 import pytest
@@ -84,8 +85,8 @@ def test_mined_verdicts(spark):
         return frozenset([*(f"h:{x}" for x in host.split(".")), *(f"p:{x}" for x in path), f"q:{query.partition('=')[0]}"])
 
     known = [(tokens(u), b) for _, u, b in data[:120]]
-    rules, least = [], math.ceil(support * len(known))
-    for some in {frozenset(c) for t, _ in known for n in range(1, len(t) + 1) for c in itertools.combinations(sorted(t), n)}:
+    rules, least = [], max(5, math.ceil(support * len(known)))
+    for some in {frozenset(c) for t, _ in known for n in range(1, 4) for c in itertools.combinations(sorted(t), n)}:
         verdicts = [b for t, b in known if some <= t]
         if sum(verdicts) >= least and sum(verdicts) >= confidence * len(verdicts):
             rules.append(some)
@@ -93,6 +94,50 @@ def test_mined_verdicts(spark):
     assert got == want and set(want.values()) == {"block", "allow"}
 
 
+def test_mining_of_long_urls_ends(spark):
+    """Urls of 40 segments, shared by many labelled pages: tokens are bounded before they are combined."""
+    rng = random.Random(3)
+    names = [f"s{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(40)]
+    data = [(i, "http://long.info/" + "/".join(n for n in names if rng.random() < 0.9), i % 3 == 0) for i in range(60)]
+    data += [(60, "http://alone.info/" + "/".join(n[::-1] for n in names), True)]
+    pages = spark.createDataFrame([(i, u) for i, u, _ in data], "page_id long, url string")
+    labels = spark.createDataFrame([(i, int(not b), 0) for i, _, b in data], "doc_id long, quality int, toxic int")
+    got = {r.page_id: r.verdict for r in urls.judge(pages, labels, URL_RULES).collect()}
+    assert len(got) == len(data) and got[60] == "allow", "a rule must not rest on one page"
+
+
+def test_language_sizes_and_margins(spark):
+    """Each text against plain compression with the model's dictionaries; a rare language changes nothing for the others."""
+    import zstandard as zstd
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    rare = spark.createDataFrame([(-i, "qq zz xx yy", "xx") for i in range(1, 5)], docs.schema)
+    model, more = langid.fit(docs), langid.fit(docs.unionByName(rare))
+    assert {k: v for k, v in more.dictionaries.items() if k != "xx"} == model.dictionaries and len(more.dictionaries["xx"]) < 60
+    sizes = [len(d) for d in model.dictionaries.values()]
+    assert max(sizes) <= 240_000 and min(sizes) > 200_000
+    rows = docs.where("doc_id % 7 = 0").collect()
+    got = {r.doc_id: r for r in langid.predict(docs, model, 0.002).collect()}
+    encoders = {k: zstd.ZstdCompressor(level=5, dict_data=zstd.ZstdCompressionDict(d, dict_type=zstd.DICT_TYPE_RAWCONTENT), write_content_size=False, write_checksum=False) for k, d in model.dictionaries.items()}
+    none = zstd.ZstdCompressor(level=5, write_content_size=False, write_checksum=False)
+    for r in rows:
+        raw = (r.text or "").lower().encode()
+        if not any(map(str.isalpha, r.text or "")):
+            assert (got[r.doc_id].lang_pred, got[r.doc_id].score, got[r.doc_id].rejected) == ("und", 0.0, True)
+            continue
+        blocks = [raw[i : i + 4000] for i in range(0, len(raw), 4000)]
+        first, second, *_ = sorted((sum(min(len(e.compress(b)), len(none.compress(b))) for b in blocks), k) for k, e in encoders.items())
+        score = 1 - first[0] / second[0]
+        assert got[r.doc_id].score == pytest.approx(score)
+        assert got[r.doc_id].rejected == (0 < score < 0.002)
+        assert score == 0 or got[r.doc_id].lang_pred == first[1]
+    held = [r for r in docs.collect() if r.lang and zlib.crc32(str(r.doc_id).encode()) % 4 == 2]
+    learnt = docs.where("pmod(crc32(cast(cast(doc_id as string) as binary)), 4) <> 2")
+    for frame in (learnt, learnt.unionByName(rare)):
+        found = {r.doc_id: r.lang_pred for r in langid.predict(docs, langid.fit(frame)).collect()}
+        assert sum(found[r.doc_id] == r.lang for r in held) >= 0.99 * len(held)
+
+
 @pytest.mark.parametrize("pivots", [None, 256])
 def test_recall_of_the_pivot_index(spark, pivots):
     rng = np.random.default_rng(4)
