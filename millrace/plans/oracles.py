@@ -22,7 +22,7 @@ log as (
   select 16 * e + 4 as seq, space + 1 + (case when e % 23 = 0 then 1 else 0 end) as region_id, 'PREWRITE' as log_type, op as op_type, key,
          10 * e + 1 as start_ts, cast(0 as bigint) as commit_ts, new as new_value, old as old_value from t where e % 17 <> 0
   union all
-  select 16 * e + 1, space + 1, 'PREWRITE', op, key, 10 * e + 1, 0, null, old from t where e % 13 = 0 and e % 17 <> 0 and e < 196
+  select 16 * e + 1, space + 1, 'PREWRITE', op, key, 10 * e + 1, 0, null, old from t where e % 13 = 0 and e % 17 <> 0 and e < 196 + 331 * space
   union all
   select case when e % 11 = 0 then 16 * e - 3 else 16 * e + 10 end, space + 1 + (case when e % 23 = 0 then 1 else 0 end), 'COMMIT', op, key,
          10 * e + 1, 10 * e + 3 + e % 5, null, null from t where e % 17 <> 0 and (e % 7 <> 0 or e % 14 = 0)
@@ -37,7 +37,9 @@ log as (
   union all
   select 16 * e + 10, space + 1, 'COMMITTED', op, key, 10 * e + 1, 10 * e + 3 + e % 5, new, old from t where e % 17 = 0
   union all
-  select case when (region_id - 1) % 2 = 0 then 196 * 16 + 8 else 209 * 16 end, region_id, 'INITIALIZED', 'UNKNOWN', '', 0, 0, null, null from regions
+  select case when space % 2 = 0 then 16 * (196 + 331 * space) + 8
+         else 16 * coalesce(min(e) filter (where e % 11 = 0 and e % 7 <> 0 and e % 17 <> 0 and e % 23 <> 0 and e >= 196 + 331 * space), 196 + 331 * space) end,
+         space + 1, 'INITIALIZED', 'UNKNOWN', '', 0, 0, null, null from t group by space
 )"""
 )
 

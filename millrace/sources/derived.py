@@ -24,6 +24,11 @@ def _space(user: Column) -> Column:
     return F.floor(user / F.lit(float(USERS))).cast("long")
 
 
+def _first_scan(space: Column) -> Column:
+    """The event from which on a region's first scan is complete: another one for each, all over the log."""
+    return F.lit(196) + space * 331
+
+
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "user_id", "event_type", "value")
     earlier = F.lag("value").over(Window.partitionBy("user_id").orderBy("event_id"))
@@ -53,7 +58,7 @@ def change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     two_phase = e % 17 != 0
     entries = F.array(
         entry(two_phase, e * 16 + 4, sent, PREWRITE, op, zero, new, old),
-        entry(two_phase & (e % 13 == 0) & (e < 196), e * 16 + 1, home, PREWRITE, op, zero, none, old),
+        entry(two_phase & (e % 13 == 0) & (e < _first_scan(F.col("space"))), e * 16 + 1, home, PREWRITE, op, zero, none, old),
         entry(two_phase & ((e % 7 != 0) | (e % 14 == 0)), F.when(e % 11 == 0, e * 16 - 3).otherwise(e * 16 + 10), sent, COMMIT, op, commit_ts, none, none),
         entry(two_phase & (e % 29 == 0) & (e % 7 != 0) & new.isNotNull(), e * 16 + 7, sent, PREWRITE, op, zero, new + 1, old),
         entry(two_phase & (e % 19 == 0) & ((e % 7 != 0) | (e % 14 == 0)), e * 16 + 12, sent, COMMIT, op, commit_ts, none, none),
@@ -62,9 +67,8 @@ def change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     rows = transactions(spark, sf_dir).select("key", (e * 10 + 1).alias("start_ts"), F.explode(F.filter(entries, lambda x: x.isNotNull())).alias("x"))
     rows = rows.select("key", "start_ts", "x.*").select(*LOG_COLUMNS)
-    space = F.col("region_id") - 1
-    marks = key_regions(spark, sf_dir).select(
-        F.when(space % 2 == 0, 196 * 16 + 8).otherwise(209 * 16).cast("long").alias("seq"),
+    marks = key_regions(spark, sf_dir, scans=True).select(
+        F.col("scanned").alias("seq"),
         "region_id",
         F.lit(INITIALIZED).alias("log_type"),
         F.lit("UNKNOWN").alias("op_type"),
@@ -77,10 +81,20 @@ def change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.unionByName(marks)
 
 
-def key_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = spark.read.parquet(f"{sf_dir}/events.parquet")
-    space = F.col("space")
-    return e.select(_space(F.col("user_id")).alias("space")).distinct().select((space + 1).alias("region_id"), _key(space * USERS).alias("start_key"), _key(space * USERS + USERS).alias("end_key"))
+def key_regions(spark: SparkSession, sf_dir: str, scans: bool = False) -> DataFrame:
+    """region_id, start_key, end_key; with ``scans`` also the place at which the first scan is complete.
+
+    In every other region that is between an early commit and its prewrite, if there is one.
+    """
+    e, space = F.col("event_id"), F.col("space")
+    rows = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", _space(F.col("user_id")).alias("space"))
+    early = (e % 11 == 0) & (e % 7 != 0) & (e % 17 != 0) & (e % 23 != 0) & (e >= _first_scan(space))
+    found = rows.groupBy("space").agg(F.min(F.when(early, e)).alias("between")) if scans else rows.select("space").distinct()
+    bounds = [(space + 1).alias("region_id"), _key(space * USERS).alias("start_key"), _key(space * USERS + USERS).alias("end_key")]
+    if not scans:
+        return found.select(*bounds)
+    place = F.when(space % 2 == 0, _first_scan(space) * 16 + 8).otherwise(F.coalesce("between", _first_scan(space)) * 16)
+    return found.select(*bounds, place.cast("long").alias("scanned"))
 
 
 def resolved_log(spark: SparkSession, sf_dir: str) -> DataFrame:
