@@ -302,9 +302,10 @@ class NgramJoin:
         near = (n1 * 100 >= n2 * self.percent) & (n2 * 100 >= n1 * self.percent)
         least = _least_shared(n1, n2, self.percent)
         early = (F.col("k_1") <= F.col("all_1") - least + 1) & (F.col("k_2") <= F.col("all_2") - least + 1)
-        # A pair comes from the first n-gram that it shares, and again only where none of the few before is shared.
+        # A pair comes from the first n-gram that it shares, and again only where none of the few before is shared. The sketches, which are
+        # numbers, are asked before the arrays.
         first = ~F.arrays_overlap("before_1", "before_2")
-        pairs = one.join(two, "gram").where((F.col("rep_1") < F.col("rep_2")) & (F.col("c_1") != F.col("c_2")) & near & early & first & self._able("1", "2"))
+        pairs = one.join(two, "gram").where((F.col("rep_1") < F.col("rep_2")) & (F.col("c_1") != F.col("c_2")) & near & early & self._able("1", "2") & first)
         pairs = pairs.select(*[F.col(f"{c}_{i}").alias(f"{c}{i}") for c in ("rep", "n") for i in (1, 2)])
         least = _least_shared(F.col("n1"), F.col("n2"), self.percent)
         pairs = pairs.distinct()
