@@ -107,23 +107,25 @@ def _link_block(threshold: float, shared: int):
     return run
 
 
-def near_duplicates(vectors: DataFrame, threshold: float = 0.93, pivots: int | None = None, prefix: int = 10, shared: int = 2, chunk: int = 1024) -> DataFrame:
+def near_duplicates(vectors: DataFrame, threshold: float = 0.93, pivots: int | None = None, prefix: int | None = None, shared: int = 2, chunk: int = 1024) -> DataFrame:
     """vec_id, n_links, component_id, kept of each row of (vec_id, embedding, label).
 
     A vector is described by its ``prefix`` nearest of ``pivots`` reference points of its length at most, which are vectors
     that are least by hash in as many hash buckets (the documented sample that the index is fitted on; all rows are
     indexed). ``pivots`` is the square root of the number of rows unless given, ``LEAST_PIVOTS`` at least and ``MOST_PIVOTS`` at
-    most, so lists grow with that root, and beyond the most with the rows. Vectors of one label that share ``shared`` pivots or more (as many as there are, if fewer) are then compared
+    most, so lists grow with that root, and beyond the most with the rows. ``prefix`` is 10, and beyond 1024 pivots grows with the root of
+    their number: among more points the nearest ones of two near vectors differ more. Vectors of one label that share ``shared`` pivots or more (as many as there are, if fewer) are then compared
     exactly, in the inverted list of the least pivot that they share; lists are cut into chunks of about ``chunk`` vectors
     and each pair of chunks is a task group of its own, so that no group is larger. Equal vectors are
     compared once and their number counts. Only counts and a forest of links leave a group.
 
     Rows whose vector, label or id is null, or whose vector is zero or holds null or non-finite numbers,
-    link with nothing, nor do vectors of different lengths. Rows that repeat count one by one.
+    link with nothing, nor do vectors of different lengths. Rows that repeat count one by one; a row without an id isn't kept.
     """
     vectors = only(vectors, "vec_id", "embedding", "label")
     rows = stored(vectors.where(_usable()).withColumns({"k1": F.xxhash64("embedding"), "k2": F.hash("embedding")}), "vectors")
     pivots = pivots or min(MOST_PIVOTS, max(LEAST_PIVOTS, math.isqrt(rows.count())))
+    prefix = prefix or max(10, round(10 * math.sqrt(pivots / 1024)))
     keys = ["label", "k1", "k2"]
     reps = rows.groupBy(*keys).agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"))
     reps = stored(reps, "vector-classes")
@@ -151,4 +153,4 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, pivots: int | N
     )
     usable = rows.select("vec_id", *keys).join(known, keys).select("vec_id", "n_links", "component_id")
     rest = vectors.where(~_usable()).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
-    return usable.unionByName(rest).withColumn("kept", F.col("vec_id") == F.col("component_id"))
+    return usable.unionByName(rest).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))

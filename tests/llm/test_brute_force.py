@@ -138,16 +138,16 @@ def test_language_sizes_and_margins(spark):
         assert sum(found[r.doc_id] == r.lang for r in held) >= 0.99 * len(held)
 
 
-@pytest.mark.parametrize("pivots", [None, 256])
-def test_recall_of_the_pivot_index(spark, pivots):
+@pytest.mark.parametrize(("pivots", "n"), [(None, 3000), (256, 3000), (1024, 3000), (4096, 7000)])
+def test_recall_of_the_pivot_index(spark, pivots, n):
     rng = np.random.default_rng(4)
     base = rng.normal(size=(300, 64))
-    vectors = base[rng.integers(300, size=3000)] + rng.normal(size=(3000, 64)) * rng.choice([0.05, 0.2], size=(3000, 1))
+    vectors = base[rng.integers(300, size=n)] + rng.normal(size=(n, 64)) * rng.choice([0.05, 0.2], size=(n, 1))
     unit = vectors.astype(np.float32).astype(np.float64)
     df = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(unit)], "vec_id long, embedding array<double>, label int")
     got = {r.vec_id: r.n_links for r in embeddings.near_duplicates(df, pivots=pivots).where("vec_id % 100 = 0").collect()}
     unit /= np.linalg.norm(unit, axis=1, keepdims=True)
-    want = {i: int((unit @ unit[i] >= 0.93).sum()) - 1 for i in range(0, 3000, 100)}
+    want = {i: int((unit @ unit[i] >= 0.93).sum()) - 1 for i in range(0, n, 100)}
     assert sum(want.values()) > 100
     assert all(got[i] <= want[i] for i in want) and sum(got.values()) >= 0.9 * sum(want.values())
 
@@ -169,3 +169,8 @@ def test_null_ids(spark, run, left):
     text = "the same forty words and more " * 30
     df = spark.createDataFrame([(None, text), (None, None), (4, text)], "doc_id long, text string").withColumn("lang", F.lit("en"))
     assert run(df).count() == left
+
+
+def test_vectors_without_ids_are_not_kept(spark):
+    df = spark.createDataFrame([(None, [1.0, 0.0], 1), (None, None, 1), (3, [1.0, 0.0], 1)], "vec_id long, embedding array<double>, label int")
+    assert sorted((r.vec_id is None, r.kept) for r in embeddings.near_duplicates(df).collect()) == [(False, True), (True, False), (True, False)]
