@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.scalar import clamped_minus
 from millrace.model import MAX_TS, Options
+from millrace.operators.sweep import running_max_by
 
 
 def from_start(changelog: DataFrame, start_ts: int, options: Options = Options()) -> DataFrame:
@@ -20,8 +21,7 @@ def until_end(changelog: DataFrame, end_ts: int = MAX_TS) -> DataFrame:
 
 def checkpoints(changelog: DataFrame, per: str = "region_id") -> DataFrame:
     """Each change with the greatest commit timestamp delivered in its region up to it."""
-    so_far = Window.partitionBy(per).orderBy("emit_seq", "commit_ts", "start_ts")
-    return changelog.withColumn("checkpoint_ts", F.max("commit_ts").over(so_far))
+    return running_max_by(changelog, per, ["emit_seq", "commit_ts", "start_ts"], F.col("commit_ts"), "checkpoint_ts")
 
 
 def resolved_violations(changelog: DataFrame) -> DataFrame:

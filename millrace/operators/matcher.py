@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.scalar import operate_type, present
 from millrace.model import COMMIT, COMMITTED, INITIALIZED, MARKS, PREWRITE, ROLLBACK
+from millrace.operators.sweep import running_max_by
 
 KEYS = ["region_id", "start_ts", "key"]
 
@@ -21,8 +22,8 @@ def in_range(log: DataFrame, regions: DataFrame) -> DataFrame:
 
 def fresh_requests(log: DataFrame) -> DataFrame:
     """Drop rows of a request older than the newest that their region has had up to then."""
-    newest = F.max("request_id").over(Window.partitionBy("region_id").orderBy("seq"))
-    return log.withColumn("_newest", newest).where(F.col("request_id") >= F.col("_newest")).drop("_newest")
+    newest = running_max_by(log, "region_id", ["seq"], F.col("request_id"), "_newest")
+    return newest.where(F.col("request_id") >= F.col("_newest")).drop("_newest")
 
 
 def of_known_regions(log: DataFrame, regions: DataFrame) -> DataFrame:

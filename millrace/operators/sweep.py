@@ -73,6 +73,21 @@ def prefix_max(rows: DataFrame, at: str, value: Column, name: str, width: int =
     return found.select("row.*", F.greatest("value", "_carry").alias(name))
 
 
+def running_max_by(rows: DataFrame, by: str, order: list[str], value: Column, name: str, width: int = WIDTH) -> DataFrame:
+    """``rows`` with ``name``: the greatest ``value`` of their group's rows up to them, by ``order``, which begins with a whole number.
+
+    A group is no single task: a window sweeps each of its blocks of ``width`` places, and what lies before a block comes from a scan
+    over the group's blocks, a row each.
+    """
+    place = F.floor(F.col(order[0]) / width)
+    own = rows.withColumns({"_block": place, "_value": value})
+    so_far = own.withColumn("_value", F.max("_value").over(Window.partitionBy(by, "_block").orderBy(*order)))
+    totals = own.groupBy(by, "_block").agg(F.max("_value").alias("_total"))
+    before = totals.select(by, "_block", F.max("_total").over(Window.partitionBy(by).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)).alias("_carry"))
+    found = so_far.join(before, [by, "_block"], "left")
+    return found.select(*[F.col(f"`{c}`") for c in rows.columns], F.greatest("_value", "_carry").alias(name))
+
+
 def cuts_of(keys: DataFrame, blocks: int = BLOCKS) -> list[str]:
     """``blocks`` - 1 different keys at most, sorted: a uniform sample of the first column, those of the least hashes. Runs a job."""
     keys = keys.toDF("key").where(present(F.col("key"))).distinct()

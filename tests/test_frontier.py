@@ -6,7 +6,7 @@ from pyspark.sql import Row
 
 from millrace.model import MAX_TS
 from millrace.operators import frontier, ranges
-from millrace.operators.sweep import cuts_of, prefix_max, running_max
+from millrace.operators.sweep import cuts_of, prefix_max, running_max, running_max_by
 from millrace.plans.oracles import ORACLES
 from millrace.plans.queries import QUERIES
 from millrace.sources import derived
@@ -191,6 +191,15 @@ def test_running_and_prefix_maxima(spark, width):
     assert sorted(map(str, got)) == sorted(str(Row(at=a, v=v, top=max((w for b, w in marks if b < a), default=None))) for a, v in marks)
 
 
+@pytest.mark.parametrize("width", [1, 9, 1 << 16])
+def test_running_maxima_of_a_hot_group(spark, width):
+    rng = random.Random(width)
+    rows = [(rng.choice([1, 1, 1, 2, None]), rng.randrange(200), rng.randrange(1000)) for _ in range(150)]
+    df = spark.createDataFrame(rows, "region_id long, seq long, v long")
+    got = running_max_by(df.where("region_id is not null"), "region_id", ["seq", "v"], df.v, "top", width).collect()
+    assert sorted(map(tuple, got)) == sorted((r, s, v, max(w for q, t, w in rows if q == r and (t, w) <= (s, v))) for r, s, v in rows if r is not None)
+
+
 PLANS = ["region_assign", "region_division", "range_contains", "restart_min_ts", "region_recovery", "frontier_segments", "slowest_range", "late_filter_asof", "commit_ts_violations", "changelog_ordered"]
 
 
