@@ -7,6 +7,7 @@ from pyspark.sql import Row
 from millrace.model import MAX_TS
 from millrace.operators import frontier, ranges
 from millrace.operators.sweep import cuts_of, prefix_max, running_max, running_max_by
+from millrace.plans import queries
 from millrace.plans.oracles import ORACLES
 from millrace.plans.queries import QUERIES
 from millrace.sources import derived
@@ -209,3 +210,9 @@ def test_plans_have_no_nested_loop(spark, name):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
     if name == "changelog_ordered":
         assert plan.count("Exchange hashpartitioning") <= 8
+
+
+def test_messages_are_reduced_before_they_get_their_keys(spark):
+    """The interval map joins a row a region, not a row a message, whose number Spark can't tell."""
+    sf = "/root/testdata/sf0.01"
+    assert queries.forwards(spark, sf).count() == derived.key_regions(spark, sf).count() + 1
