@@ -216,3 +216,21 @@ def test_messages_are_reduced_before_they_get_their_keys(spark):
     """The interval map joins a row a region, not a row a message, whose number Spark can't tell."""
     sf = "/root/testdata/sf0.01"
     assert queries.forwards(spark, sf).count() == derived.key_regions(spark, sf).count() + 1
+
+
+def test_restart_keeps_regions_without_a_timestamp(spark):
+    """Regions that have sent nothing yet are restarted with the others, and aren't the first known timestamp."""
+    errors = spark.createDataFrame([(1, 9), (4, 6)], "error_id long, resolved_ts long")
+    divided = spark.createDataFrame([(1, 1, None), (1, 2, 7), (1, 3, 5), (4, 4, None)], "error_id long, region_id long, resolved_ts long")
+    assert sorted(map(tuple, ranges.restart_ts(errors, divided).collect())) == [(1, 1, 7), (1, 2, 7), (1, 3, 7), (4, 4, 6)]
+
+
+def test_restart_equals_sql_where_a_region_is_silent(spark, tmp_path):
+    """Region 83 sends nothing up to tick 2."""
+    events = spark.range(2000).selectExpr("id as event_id", "id as user_id", "'view' as event_type", "1.0d as value")
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    con = duckdb.connect()
+    con.execute(f"create view events as select * from '{tmp_path}/events.parquet/*.parquet'")
+    found = [(r.error_id, r.region_id, r.restart_ts) for r in QUERIES["restart_min_ts"](spark, str(tmp_path)).collect()]
+    assert sorted(found) == sorted(con.execute(ORACLES["restart_min_ts"]).fetchall())
+    assert any(r == 83 for _, r, _ in found)
