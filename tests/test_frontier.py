@@ -3,10 +3,11 @@ import random
 import duckdb
 import pytest
 from pyspark.sql import Row
+from pyspark.sql import functions as F
 
 from millrace.model import MAX_TS
-from millrace.operators import frontier, ranges
-from millrace.operators.sweep import cuts_of, prefix_max, running_max, running_max_by
+from millrace.operators import diagnostics, frontier, ranges
+from millrace.operators.sweep import cuts_of, prefix_max, running_max, running_max_by, stabbed
 from millrace.plans import queries
 from millrace.plans.oracles import ORACLES
 from millrace.plans.queries import QUERIES
@@ -234,3 +235,48 @@ def test_restart_equals_sql_where_a_region_is_silent(spark, tmp_path):
     found = [(r.error_id, r.region_id, r.restart_ts) for r in QUERIES["restart_min_ts"](spark, str(tmp_path)).collect()]
     assert sorted(found) == sorted(con.execute(ORACLES["restart_min_ts"]).fetchall())
     assert any(r == 83 for _, r, _ in found)
+
+
+def test_messages_are_made_where_their_region_lies(spark):
+    """Windows by region need no shuffle of the messages, which aren't dealt to one task either."""
+    rows = derived.resolved_log(spark, "/root/testdata/sf0.001")
+    assert rows.rdd.getNumPartitions() >= 2 * spark.sparkContext.defaultParallelism
+    for name in ("penalty_streak", "penalty_by_event_time"):
+        plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+        above = plan[: plan.index("Generate explode")]
+        assert "Window" in above and "Exchange" not in above and above.count("Sort [") == 1
+
+
+def test_equal_intervals_are_cut_once(spark):
+    points = spark.createDataFrame([(i,) for i in range(8)], "at long")
+    rows = spark.createDataFrame([(1, 3, v) for v in (5, 4, 9)] + [(3, 6, 2), (5, 4, 0)], "low long, high long, value long")
+    found = stabbed(points, "at", rows, F.min)
+    assert sorted(map(tuple, found.collect())) == [(1, 4), (2, 4), (3, 2), (4, 2), (5, 2), (6, 2)]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate [low" in plan[plan.index("Generate explode") :]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_penalties_equal_a_plain_loop(spark, seed):
+    rng = random.Random(seed)
+    rows = [(r, t, 5 * t + rng.randrange(-30, 5) if rng.random() < 0.95 else None, rng.randrange(100) if rng.random() < 0.9 else None) for r in range(3) for t in range(80)]
+    streaks, counted = [], []
+    for r in range(3):
+        top = last = None
+        streak = penalty = 0
+        for i, (_, t, ts, at) in enumerate(x for x in rows if x[0] == r):
+            rise = top is None or (ts is not None and ts > top)
+            streak = 0 if rise or i == 0 else streak + 1
+            if rise:
+                penalty, last = 0, at
+            elif at is not None and last is not None and at > last:
+                penalty += 1
+            if not rise and at is not None:
+                last = max(at, at if last is None else last)
+            top = ts if top is None else max(top, top if ts is None else ts)
+            streaks.append((r, t, streak))
+            counted.append((r, t, penalty))
+    df = spark.createDataFrame(rows, "region_id long, seq long, resolved_ts long, event_time long")
+    assert sorted((r.region_id, r.seq, r.penalty) for r in diagnostics.penalties(df).collect()) == counted
+    got = diagnostics.penalty_streaks(df.withColumnRenamed("seq", "tick")).collect()
+    assert sorted((r.region_id, r.tick, r.penalty) for r in got) == streaks
