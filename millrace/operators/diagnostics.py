@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from millrace.functions.scalar import clamped_minus
@@ -30,11 +30,15 @@ def flow_units(messages: DataFrame) -> DataFrame:
 def penalty_streaks(resolved: DataFrame) -> DataFrame:
     """How often in a row each region's timestamp failed to rise, by tick; a rise sets it to zero."""
     by_region = Window.partitionBy("region_id").orderBy("tick")
+    rows = resolved.withColumns({"_rise": _rises(by_region), "_n": F.row_number().over(by_region)})
+    last = F.max(F.when(F.col("_rise"), F.col("_n"))).over(by_region.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return rows.withColumn("penalty", (F.col("_n") - last).cast("long")).drop("_rise", "_n")
+
+
+def _rises(by_region: WindowSpec) -> Column:
+    """Whether a timestamp is above all that its region had before; the first one is."""
     top = F.max("resolved_ts").over(by_region.rowsBetween(Window.unboundedPreceding, -1))
-    rows = resolved.withColumn("_rise", F.when(top.isNull() | (F.col("resolved_ts") > top), 1).otherwise(0))
-    rows = rows.withColumn("_run", F.sum("_rise").over(by_region))
-    within = Window.partitionBy("region_id", "_run").orderBy("tick")
-    return rows.withColumn("penalty", (F.row_number().over(within) - 1).cast("long")).drop("_rise", "_run")
+    return F.coalesce(top.isNull() | (F.col("resolved_ts") > top), F.lit(False))
 
 
 def penalties(messages: DataFrame) -> DataFrame:
@@ -44,12 +48,16 @@ def penalties(messages: DataFrame) -> DataFrame:
     time is later than the region's, which it then becomes; older and equal ones change nothing.
     """
     by_region = Window.partitionBy("region_id").orderBy("seq")
-    top = F.max("resolved_ts").over(by_region.rowsBetween(Window.unboundedPreceding, -1))
-    rows = messages.withColumn("_run", F.sum(F.when(top.isNull() | (F.col("resolved_ts") > top), 1).otherwise(0)).over(by_region))
-    within = Window.partitionBy("region_id", "_run").orderBy("seq")
-    last = F.max("event_time").over(within.rowsBetween(Window.unboundedPreceding, -1))
-    rows = rows.withColumn("_counts", F.coalesce((F.col("event_time") > last).cast("long"), F.lit(0)))
-    return rows.withColumn("penalty", F.sum("_counts").over(within)).drop("_run", "_counts")
+    upto = by_region.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # All windows share one order, so rows are sorted once: runs are told by their numbers, which only grow.
+    rows = messages.withColumn("_rise", _rises(by_region))
+    rows = rows.withColumn("_run", F.sum(F.col("_rise").cast("long")).over(upto))
+    last = F.max(F.struct("_run", "event_time")).over(by_region.rowsBetween(Window.unboundedPreceding, -1))
+    rows = rows.withColumn("_last", last)
+    counts = (F.col("_last._run") == F.col("_run")) & (F.col("event_time") > F.col("_last.event_time"))
+    rows = rows.withColumn("_counts", F.sum(F.coalesce(counts.cast("long"), F.lit(0))).over(upto))
+    start = F.max(F.when(F.col("_rise"), F.col("_counts"))).over(upto)
+    return rows.withColumn("penalty", F.col("_counts") - start).drop("_rise", "_run", "_last", "_counts")
 
 
 def lock_sweep(regions: DataFrame, now: int, least_lag: int = 20_000, penalty: int = 10, reconnect: int = 2_400_000, most: int = 64) -> DataFrame:
