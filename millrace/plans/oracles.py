@@ -284,7 +284,10 @@ ORACLES: dict[str, str] = {
     "key_columns_by_place": """select cast(row_number() over (order by nth) - 1 as integer) as position, column_name as name
         from (select row_number() over () as nth, column_name from (describe select * from lineitem)) where column_name in ('l_orderkey', 'l_linenumber')""",
     "id_allocation": _with(_LOG, "select count(*) as entries, count(*) as ids, cast(1 as bigint) as least, count(*) as greatest from log"),
-    "resolved_fan_out": _with(_RESOLVED, "select tick, region_id, cast(35000 as bigint) as resolved_ts from resolved"),
+    "resolved_fan_out": _with(
+        _TRANSACTIONS,
+        "select tick, region_id, cast(35000 as bigint) as resolved_ts from (select distinct cast(floor(event_id / 500.0) as bigint) as tick from events), (select region_id from regions)",
+    ),
     "penalty_by_event_time": _with(
         _RESOLVED,
         """, runs as (

@@ -280,3 +280,9 @@ def test_penalties_equal_a_plain_loop(spark, seed):
     assert sorted((r.region_id, r.seq, r.penalty) for r in diagnostics.penalties(df).collect()) == counted
     got = diagnostics.penalty_streaks(df.withColumnRenamed("seq", "tick")).collect()
     assert sorted((r.region_id, r.tick, r.penalty) for r in got) == streaks
+
+
+def test_fan_out_covers_every_region_at_every_tick(spark):
+    sf = "/root/testdata/sf0.01"
+    found = {(r.tick, r.region_id) for r in QUERIES["resolved_fan_out"](spark, sf).collect()}
+    assert found == {(t, r.region_id) for t in range(20) for r in derived.key_regions(spark, sf).collect()} and len(found) == 160
