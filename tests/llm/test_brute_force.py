@@ -94,6 +94,29 @@ def test_mined_verdicts(spark):
     assert got == want and set(want.values()) == {"block", "allow"}
 
 
+def test_rows_of_many_tokens_are_mined_whole(spark):
+    """A rule of tokens that are the least telling of rows with twenty: none of them is left out."""
+    rng = random.Random(4)
+    common = [f"t{i:02}" for i in range(20)]
+    rows = []
+    for i in range(240):
+        pair = [x for x in ("y", "z") if rng.random() < 0.5]
+        # y and z together are blocked; either alone is less telling than any other token.
+        blocked = len(pair) == 2 or (not pair and rng.random() < 0.4)
+        rows.append(([*pair, *(x for x in common if rng.random() < (0.9 if blocked else 0.6))], blocked))
+    rows += [(None, True), (["y"], None)]
+    got = urls.mine_rules(spark.createDataFrame(rows, "tokens array<string>, blocked boolean"), 0.02, 0.8).collect()
+    known = [(frozenset(t), b) for t, b in rows if t is not None and b is not None]
+    want = {}
+    for size in (1, 2, 3):
+        for some in map(frozenset, itertools.combinations([*common, "y", "z"], size)):
+            verdicts = [b for t, b in known if some <= t]
+            if sum(verdicts) >= 5 and sum(verdicts) >= 0.8 * len(verdicts) and not any(r < some for r in want):
+                want[some] = sum(verdicts) / len(verdicts)
+    assert {frozenset(r.antecedent): r.confidence for r in got} == want and frozenset("yz") in want
+    assert len(got) == len(want) and any(len(r) == 3 for r in want) and all(r.pivot in r.antecedent for r in got)
+
+
 def test_mining_of_long_urls_ends(spark):
     """Urls of 40 segments, shared by many labelled pages: tokens are bounded before they are combined."""
     rng = random.Random(3)
