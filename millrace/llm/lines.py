@@ -11,15 +11,24 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import only, slices, stored, unused
+from millrace.llm.common import LOWER_ASCII, only, slices, stored, unused
 
-STRIPPED = " \t\n\x0b\x0c\r"
-_LOWER = {c: c + 32 for c in range(65, 91)}
+STRIPPED = b" \t\n\x0b\x0c\r"
 RUN_SCHEMA = "h1 long, h2 long, n_docs long, top_doc long"
 
 
-def _lower(text: str) -> str:
-    return text.lower() if text.isascii() else text.translate(_LOWER)
+def _keys(raw: bytes) -> list[bytes]:
+    """The key of each line of a UTF-8 text; bytes below 128 are never part of another code point."""
+    return [x.strip(STRIPPED) for x in raw.translate(LOWER_ASCII).split(b"\n")]
+
+
+def _is_long(key: bytes, least: int) -> bool:
+    """Whether a key has ``least`` code points, which are counted only if its bytes can't tell."""
+    return len(key) >= least and (len(key) >= 4 * least or key.isascii() or len(key.decode()) >= least)
+
+
+def _texts(batch: pa.RecordBatch) -> list[bytes | None]:
+    return batch.column("text").cast(pa.binary()).to_pylist()
 
 
 def line_hashes(docs: DataFrame, min_chars: int) -> DataFrame:
@@ -28,9 +37,9 @@ def line_hashes(docs: DataFrame, min_chars: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 4 << 20):
             raw, ids, sizes = [], [], []
-            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                keys = {k for k in (x.strip(STRIPPED) for x in _lower(text or "").split("\n")) if len(k) >= min_chars}
-                raw += [hashlib.blake2b(k.encode(), digest_size=16).digest() for k in keys]
+            for doc, text in zip(batch.column("doc_id").to_pylist(), _texts(batch), strict=True):
+                keys = {k for k in _keys(text or b"") if _is_long(k, min_chars)}
+                raw += [hashlib.blake2b(k, digest_size=16).digest() for k in keys]
                 ids.append(doc)
                 sizes.append(len(keys))
             h = np.frombuffer(b"".join(raw), np.int64).reshape(-1, 2)
@@ -117,21 +126,22 @@ def lines_to_drop(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, batch
 
 
 def _without(docs: DataFrame, drops: DataFrame, min_chars: int, names: list[str], finish, schema) -> DataFrame:
-    """Run ``finish(batch, [(n_lines, kept lines)])`` over ``docs`` joined with what they lose."""
+    """Run ``finish(batch, [(n_lines, n_dropped, what is kept, in UTF-8)])`` over ``docs`` joined with what they lose."""
     of, gone_at = unused(docs, "_of"), unused(docs, "_drops")
     joined = docs.join(drops.withColumnsRenamed({"doc_id": of, "drops": gone_at}), F.col("doc_id") == F.col(of), "left")
 
     def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(found, "text", 4 << 20):
             kept = []
-            for text, gone in zip(batch.column("text").to_pylist(), batch.column(gone_at).to_pylist(), strict=True):
-                lines = (text or "").split("\n")
-                stay = lines
-                if gone:
-                    drop = {np.array([g["h1"], g["h2"]], np.int64).tobytes() for g in gone}
-                    keys = [x.strip(STRIPPED) for x in _lower(text).split("\n")]
-                    stay = [x for x, k in zip(lines, keys, strict=True) if len(k) < min_chars or hashlib.blake2b(k.encode(), digest_size=16).digest() not in drop]
-                kept.append((len(lines), stay))
+            for text, gone in zip(_texts(batch), batch.column(gone_at).to_pylist(), strict=True):
+                text = text or b""
+                n = text.count(b"\n") + 1
+                if not gone:
+                    kept.append((n, 0, text))
+                    continue
+                drop = {np.array([g["h1"], g["h2"]], np.int64).tobytes() for g in gone}
+                stay = [x for x, k in zip(text.split(b"\n"), _keys(text), strict=True) if not _is_long(k, min_chars) or hashlib.blake2b(k, digest_size=16).digest() not in drop]
+                kept.append((n, n - len(stay), b"\n".join(stay)))
             yield finish(batch.select(names), kept)
 
     return joined.select(*[F.col(f"`{n}`") for n in dict.fromkeys([*names, "text", gone_at])]).mapInArrow(run, schema)
@@ -145,13 +155,13 @@ def line_digests(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, batche
     """
     docs = only(docs, "doc_id", "text")
 
-    def finish(batch: pa.RecordBatch, kept: list[tuple[int, list[str]]]) -> pa.RecordBatch:
+    def finish(batch: pa.RecordBatch, kept: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
             [
                 batch.column("doc_id"),
-                pa.array([n for n, _ in kept], pa.int64()),
-                pa.array([n - len(k) for n, k in kept], pa.int64()),
-                pa.array([hashlib.sha256("\n".join(k).encode()).hexdigest() for _, k in kept], pa.string()),
+                pa.array([n for n, _, _ in kept], pa.int64()),
+                pa.array([d for _, d, _ in kept], pa.int64()),
+                pa.array([hashlib.sha256(k).hexdigest() for _, _, k in kept], pa.string()),
             ],
             ["doc_id", "n_lines", "n_dropped", "kept_sha256"],
         )
@@ -163,9 +173,9 @@ def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, batches
     """``docs``, all columns, with texts that lost their common lines. A null text stays null."""
     names = docs.columns
 
-    def finish(batch: pa.RecordBatch, kept: list[tuple[int, list[str]]]) -> pa.RecordBatch:
+    def finish(batch: pa.RecordBatch, kept: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
         old = batch.column("text").is_null().to_pylist()
-        texts = [None if null else "\n".join(k) for null, (_, k) in zip(old, kept, strict=True)]
-        return batch.set_column(names.index("text"), "text", pa.array(texts, batch.column("text").type))
+        texts = [None if null else k for null, (_, _, k) in zip(old, kept, strict=True)]
+        return batch.set_column(names.index("text"), "text", pa.array(texts, pa.binary()).cast(batch.column("text").type))
 
     return _without(docs, lines_to_drop(docs, min_chars, min_docs, batches), min_chars, names, finish, docs.schema)

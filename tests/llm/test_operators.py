@@ -467,3 +467,13 @@ def test_fingerprints_of_wide_and_null_ids(spark):
     for (d, t), (_, after) in zip(order, order[1:] + order[:1], strict=True):
         half = len(t) // 2
         assert got[d] == hashlib.sha256((t[: len(t) - half] + after[:half]).encode()).hexdigest(), d
+
+
+def test_line_keys_on_bytes_count_code_points():
+    """Keys equal those of plain strings, and are long by code points, not bytes."""
+    texts = ["Ä" * 39, "Ä" * 40, "ÀB" * 20, " \x0b" + "x" * 39 + "é\r", " " + "y" * 39, "𝒜" * 10, "𝒜" * 40, "\u0085" + "Q" * 38, "", "A\nB\n\nÉ"]
+    for text in texts:
+        plain = ["".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in x.strip(" \t\n\x0b\x0c\r")) for x in text.split("\n")]
+        keys = lines._keys(text.encode())
+        assert [k.decode() for k in keys] == plain
+        assert [lines._is_long(k, 40) for k in keys] == [len(k) >= 40 for k in plain]
