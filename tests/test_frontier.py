@@ -286,3 +286,17 @@ def test_fan_out_covers_every_region_at_every_tick(spark):
     sf = "/root/testdata/sf0.01"
     found = {(r.tick, r.region_id) for r in QUERIES["resolved_fan_out"](spark, sf).collect()}
     assert found == {(t, r.region_id) for t in range(20) for r in derived.key_regions(spark, sf).collect()} and len(found) == 160
+
+
+def test_the_frontier_reads_as_many_messages_as_ticks_ask_for(spark, tmp_path):
+    """Of 1,500 regions and 8 ticks, 396 regions and those below zero can hold the frontier, and it is that of all."""
+    events = spark.range(4000).selectExpr("id as event_id", "(id * 7 % 1500 - 20) * 20 as user_id", "'view' as event_type", "1.0d as value")
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    lowest, all_ = derived.lowest_log(spark, str(tmp_path)), derived.resolved_log(spark, str(tmp_path))
+    assert lowest.count() < 8 * (396 + 20) and all_.count() > 10_000
+    want = sorted(map(tuple, frontier.region_frontier(all_).collect()))
+    assert sorted(map(tuple, QUERIES["region_frontier"](spark, str(tmp_path)).collect())) == want and len(want) > 3
+    for name in ("region_frontier", "frontier_advances", "stuck_gaps", "late_filter_asof", "commit_ts_violations"):
+        con = duckdb.connect()
+        con.execute(f"create view events as select * from '{tmp_path}/events.parquet/*.parquet'")
+        assert sorted(map(str, map(tuple, QUERIES[name](spark, str(tmp_path)).collect()))) == sorted(map(str, con.execute(ORACLES[name]).fetchall()))
