@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import LOWER_ASCII, SpanHash, WordHashes, mix, only, signed, slices, small_batches, stored
+from millrace.llm.common import LOWER_ASCII, SpanHash, WordHashes, discard, mix, only, signed, slices, small_batches, stored
 from millrace.llm.components import components
 
 #: N-grams that go to the end of the global order: at most so many, the most frequent ones.
@@ -68,10 +68,19 @@ def sketch(own: np.ndarray) -> np.ndarray:
     return np.packbits(bits).view(np.int64)
 
 
+def _bits(columns: list[Column]) -> Column:
+    """How many bits of a sketch are set."""
+    counts = [F.bit_count(c) for c in columns]
+    return sum(counts[1:], counts[0])
+
+
+def _common_bits(own: list[Column], other: list[Column]) -> Column:
+    return _bits([a.bitwiseAND(b) for a, b in zip(own, other, strict=True)])
+
+
 def _most_shared(n: Column, own: list[Column], other: list[Column]) -> Column:
     """So many of a set's n n-grams at most are in another: each of its bits that the other lacks stands for one that isn't."""
-    lacking = [F.bit_count(a.bitwiseAND(F.bitwise_not(b))) for a, b in zip(own, other, strict=True)]
-    return n - sum(lacking[1:], lacking[0])
+    return n - (_bits(own) - _common_bits(own, other))
 
 
 def _signatures(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -195,7 +204,7 @@ class NgramJoin:
         top = counts.orderBy(F.desc("count"), "x").limit(MAX_FREQUENT).collect()  # at most MAX_FREQUENT numbers
         self.order = self.docs.sparkSession.sparkContext.broadcast(Order([(r[0], r[1]) for r in top]))
         #: One row a different set: its least doc_id stands for it.
-        self.classes = stored(self.signatures.where("n > 0").groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("rep"), *[F.any_value(x).alias(x) for x in SKETCH]), "set-classes")
+        self.classes = stored(self.signatures.where("n > 0").groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("rep"), *[F.any_value(x).alias(x) for x in SKETCH]).withColumn("bits", _bits([F.col(x) for x in SKETCH])), "set-classes")
 
     def _prefixes(self) -> DataFrame:
         size, percent, order = self.size, self.percent, self.order
@@ -214,8 +223,11 @@ class NgramJoin:
     def _lists(self) -> DataFrame:
         """Inverted lists of the prefixes: (gram, rep, n), of n-grams in two documents or more."""
         short = F.col("gram").bitwiseAND(0x7FFFFFFF).cast("int")  # to count by; that some single n-grams stay does no harm
-        live = self._prefixes().groupBy(short.alias("short")).count().where("count > 1").select("short")
-        return stored(self._prefixes().join(live, short == F.col("short")).select("gram", "rep", "n"), "prefix-lists")
+        prefixes = stored(self._prefixes(), "prefixes")  # read twice, so that texts are cut once
+        live = prefixes.groupBy(short.alias("short")).count().where("count > 1").select("short")
+        found = stored(prefixes.join(live, short == F.col("short")).select("gram", "rep", "n"), "prefix-lists")
+        discard(prefixes)
+        return found
 
     def _verified(self, pairs: DataFrame, chunk: int = 256) -> DataFrame:
         """Those pairs (u, v) that link. The texts beside each ``u`` go to prefix trees of about ``chunk`` sets."""
@@ -264,15 +276,18 @@ class NgramJoin:
         likely = shared.where(F.col("count") * 2 >= _least_shared(F.col("n"), F.col("m"), self.percent))
         pairs = likely.groupBy("v").agg(F.max_by("u", F.struct("count", "u")).alias("u"))
         for side in ("u", "v"):  # representatives alone have sketches, so rows with equal sets go here
-            pairs = pairs.join(self.classes.select(F.col("rep").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in ("n", *SKETCH)]), side)
+            pairs = pairs.join(self.classes.select(F.col("rep").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in ("n", "bits", *SKETCH)]), side)
         return pairs.where(self._able("u", "v")).select("u", "v")
 
     def _able(self, one: str, two: str) -> Column:
-        """Whether the sketches of two sets leave room for the overlap that a link needs."""
+        """Whether the sketches of two sets leave room for the overlap that a link needs: ``_most_shared`` of either set reaches it.
+
+        Bits in common are counted once for both sets, so that a join's condition has 16 terms and not 32.
+        """
         a, b = F.col(f"n_{one}"), F.col(f"n_{two}")
-        s, t = ([F.col(f"{c}_{x}") for c in SKETCH] for x in (one, two))
+        common = _common_bits(*[[F.col(f"{c}_{x}") for c in SKETCH] for x in (one, two)])
         overlap = F.ceil(F.lit(self.percent) * (a + b) / F.lit(100 + self.percent))
-        return (_most_shared(a, s, t) >= overlap) & (_most_shared(b, t, s) >= overlap)
+        return common >= overlap + F.greatest(F.col(f"bits_{one}") - a, F.col(f"bits_{two}") - b)
 
     def _rest(self, lists: DataFrame, groups: DataFrame, name: str) -> DataFrame:
         """Lists with members of several components: (gram, rep, n, c), one document a different set."""
@@ -296,8 +311,8 @@ class NgramJoin:
         ordered = own.orderBy(F.col("gram") < 0, "gram")
         before = F.collect_list("gram").over(ordered.rowsBetween(-BEFORE, -1))
         rest = rest.withColumns({"k": F.row_number().over(ordered), "all": F.count("*").over(own), "before": before})
-        rest = stored(rest.join(self.classes.select("rep", *SKETCH), "rep"), "sketched-lists")
-        one, two = (rest.select("gram", *[F.col(c).alias(f"{c}_{i}") for c in ("rep", "n", "c", "k", "all", "before", *SKETCH)]) for i in (1, 2))
+        rest = stored(rest.join(self.classes.select("rep", "bits", *SKETCH), "rep"), "sketched-lists")
+        one, two = (rest.select("gram", *[F.col(c).alias(f"{c}_{i}") for c in ("rep", "n", "c", "k", "all", "before", "bits", *SKETCH)]) for i in (1, 2))
         n1, n2 = F.col("n_1"), F.col("n_2")
         near = (n1 * 100 >= n2 * self.percent) & (n2 * 100 >= n1 * self.percent)
         least = _least_shared(n1, n2, self.percent)

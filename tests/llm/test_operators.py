@@ -150,6 +150,28 @@ def test_ngram_join(spark, docs, rows):
     assert {r.doc_id for r in ngram_join.keep_one(df).collect()} == {d for d in ids if want[d] == d}
 
 
+def test_sketches_bound_overlaps_in_one_pass(spark):
+    """Bits in common are counted once for both sets; the last join's condition had twice as many terms."""
+    rng = np.random.default_rng(3)
+    pool = rng.integers(1, 1 << 62, 900, dtype=np.uint64)
+    sets = [np.unique(np.concatenate([pool[:700], rng.choice(pool, k)])) for k in (0, 20, 80, 200)] + [np.unique(rng.choice(pool, k)) for k in (3, 90, 640)]
+    drawn = [ngram_join.sketch(s) for s in sets]
+    ones = lambda x: sum(int(v).bit_count() for v in x.view(np.uint64))
+    columns = [f"{c}_{i}" for i in "12" for c in ("n", "bits", *ngram_join.SKETCH)]
+    rows, want = [], []
+    for s, a in zip(sets, drawn, strict=True):
+        for t, b in zip(sets, drawn, strict=True):
+            rows.append([len(s), ones(a), *a.tolist(), len(t), ones(b), *b.tolist()])
+            need = -(-80 * (len(s) + len(t)) // 180)
+            want.append(len(s) - ones(a & ~b) >= need and len(t) - ones(b & ~a) >= need)
+    join = ngram_join.NgramJoin.__new__(ngram_join.NgramJoin)
+    join.percent = 80
+    able = join._able("1", "2")
+    df = spark.createDataFrame(rows, ", ".join(f"{c} long" for c in columns))
+    assert [r.able for r in df.select(able.alias("able")).collect()] == want and 7 < sum(want) < len(want)
+    assert df.where(able)._jdf.queryExecution().optimizedPlan().toString().count("bit_count") == len(ngram_join.SKETCH)
+
+
 def test_last_step_of_ngram_join_finds_what_leaders_miss(spark, monkeypatch):
     monkeypatch.setattr(ngram_join.NgramJoin, "_led", lambda self, lists, turn: self.classes.selectExpr("rep AS u", "rep AS v").limit(0))
     rng = random.Random(12)
