@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import only, slices
+from millrace.llm.common import forget, only, slices, small_batches
 
 UNKNOWN = "und"
 GRAM = 4
@@ -119,6 +119,7 @@ def predict(docs: DataFrame, model: CompressionModel, min_margin: float = 0.0) -
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         classify = model.classifier()
         for batch in slices(batches, "text", 8 << 20):
             found = [classify(t) for t in batch.column("text").to_pylist()]
@@ -128,6 +129,7 @@ def predict(docs: DataFrame, model: CompressionModel, min_margin: float = 0.0) -
                 [batch.column("doc_id"), pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(rejected, pa.bool_())], ["doc_id", "lang_pred", "score", "rejected"]
             )
 
+    small_batches(docs.sparkSession)
     return only(docs, "doc_id", "text").mapInArrow(run, docs.select("doc_id").schema.add("lang_pred", "string").add("score", "double").add("rejected", "boolean"))
 
 
@@ -135,9 +137,11 @@ def keep_identified(docs: DataFrame, model: CompressionModel, min_margin: float
     """The rows of ``docs`` whose language ``predict`` identifies, all columns kept, in one pass and without a join."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         classify = model.classifier()
         for batch in slices(batches, "text", 8 << 20):
             found = (classify(t) for t in batch.column("text").to_pylist())
             yield batch.filter(pa.array([lang is not None and (tied or s >= min_margin) for lang, s, tied in found], pa.bool_()))
 
+    small_batches(docs.sparkSession)
     return docs.mapInArrow(run, docs.schema)

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import LOWER_ASCII, only, slices, stored, unused
+from millrace.llm.common import LOWER_ASCII, only, slices, small_batches, stored, unused
 
 STRIPPED = b" \t\n\x0b\x0c\r"
 RUN_SCHEMA = "h1 long, h2 long, n_docs long, top_doc long"
@@ -46,6 +46,7 @@ def line_hashes(docs: DataFrame, min_chars: int) -> DataFrame:
             at = pa.array(np.repeat(np.arange(len(ids)), sizes))
             yield pa.RecordBatch.from_arrays([pa.array(h[:, 0]), pa.array(h[:, 1]), batch.column("doc_id").take(at)], ["h1", "h2", "doc_id"])
 
+    small_batches(docs.sparkSession)
     return only(docs, "doc_id", "text").where("doc_id is not null").mapInArrow(run, "h1 long, h2 long, doc_id long")
 
 
@@ -127,6 +128,7 @@ def lines_to_drop(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, batch
 
 def _without(docs: DataFrame, drops: DataFrame, min_chars: int, names: list[str], finish, schema) -> DataFrame:
     """Run ``finish(batch, [(n_lines, n_dropped, what is kept, in UTF-8)])`` over ``docs`` joined with what they lose."""
+    small_batches(docs.sparkSession)
     of, gone_at = unused(docs, "_of"), unused(docs, "_drops")
     joined = docs.join(drops.withColumnsRenamed({"doc_id": of, "drops": gone_at}), F.col("doc_id") == F.col(of), "left")
 

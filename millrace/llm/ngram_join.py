@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import LOWER_ASCII, SpanHash, WordHashes, discard, mix, only, signed, slices, small_batches, stored
+from millrace.llm.common import LOWER_ASCII, SpanHash, WordHashes, discard, kept, mix, only, signed, slices, small_batches, stored
 from millrace.llm.components import components
 
 #: N-grams that go to the end of the global order: at most so many, the most frequent ones.
@@ -38,15 +38,13 @@ BEFORE = 8
 SKETCH = [f"s{i}" for i in range(16)]
 
 
-_hashes = WordHashes()
-
-
 def shingle_sets(texts: pa.Array, size: int) -> list[np.ndarray]:
     """Sorted distinct 63-bit hashes of the word n-grams of each text.
 
     A text of fewer words has one, of all its words; a text without words has none.
     """
-    found = [_hashes.of((t or b"").translate(LOWER_ASCII)) for t in texts.cast(pa.binary()).to_pylist()]
+    hashes = kept("word-hashes", WordHashes)
+    found = [hashes.of((t or b"").translate(LOWER_ASCII)) for t in texts.cast(pa.binary()).to_pylist()]
     bounds = np.concatenate([[0], np.cumsum([len(t) for t in found], dtype=np.int64)])
     words = np.concatenate([*found, np.zeros(0, np.uint64)])
     spans = SpanHash(words)

@@ -13,7 +13,6 @@ import re
 import zlib
 from array import array
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 from itertools import filterfalse
 
 import numpy as np
@@ -22,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import only, partitions, slices, stored
+from millrace.llm.common import kept, only, partitions, slices, stored
 
 CAPACITY = 2048
 Pattern = tuple[tuple[int, ...], int]  # lengths in order of their offsets, number of sequences like it
@@ -141,13 +140,6 @@ def plan_packing(counts: dict[int, int], capacity: int) -> list[Pattern]:
     return full + fixed + best_fit(rest, capacity)
 
 
-@lru_cache(maxsize=2)
-def _tokenizer(path: str):
-    from tokenizers import Tokenizer
-
-    return Tokenizer.from_file(path)
-
-
 class WordIds(dict):
     """Ids (little-endian bytes) by word, remembered in two generations of bounded size.
 
@@ -160,9 +152,11 @@ class WordIds(dict):
     _LINE = re.compile(r"^(?:([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!]*)|(.*))$", re.M)
 
     def __init__(self, path: str, most: int = 400_000) -> None:
+        from tokenizers import Tokenizer
+
         super().__init__()
-        self.path, self.most, self.old = path, most, {}
-        known = _tokenizer(path)
+        self.most, self.old = most, {}
+        self.tokenizer = known = Tokenizer.from_file(path)
         probe = known.encode_batch(["Ab", "ab", " ab  ab\n", "ab!", "!"], add_special_tokens=False)
         one, low, two, signed, sign = (e.ids for e in probe)
         if not (one == low and two == low * 2 and signed == low + sign and probe[0].tokens[-1].endswith("</w>")):
@@ -194,13 +188,13 @@ class WordIds(dict):
     def _encode(self, words: list[str]) -> None:
         for i in range(0, len(words), 4096):
             part = words[i : i + 4096]
-            for w, e in zip(part, _tokenizer(self.path).encode_batch_fast(part, add_special_tokens=False), strict=True):
+            for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
                 self[w] = array("I", e.ids).tobytes()
 
     def _encode_cores(self, cores: list[str], at_once: int = 128) -> None:
         for i in range(0, len(cores), 64 * at_once):
             parts = [cores[j : j + at_once] for j in range(i, min(i + 64 * at_once, len(cores)), at_once)]
-            for part, e in zip(parts, _tokenizer(self.path).encode_batch_fast([" ".join(p) for p in parts], add_special_tokens=False), strict=True):
+            for part, e in zip(parts, self.tokenizer.encode_batch_fast([" ".join(p) for p in parts], add_special_tokens=False), strict=True):
                 ids = np.array(e.ids, "<u4")
                 cuts = (np.flatnonzero(self.ends[ids]) + 1).tolist()
                 if len(cuts) != len(part) or cuts[-1] != len(ids):
@@ -211,14 +205,13 @@ class WordIds(dict):
                     self[w] = raw[4 * a : 4 * b]
 
 
-_words: dict[str, WordIds] = {}
 
 def pieces_of(path: str, capacity: int, end: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Arrow function from (doc_id, text) to the pieces of the documents' ids, each ended by ``end``."""
     last = end.to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = _words.setdefault(path, WordIds(path))
+        ids = kept(f"word-ids {path}", lambda: WordIds(path))
         for batch in slices(batches, "text", 4 << 20):
             # White space beyond ASCII stays within a word here, which the tokenizer itself then parts.
             split = pc.ascii_split_whitespace(batch.column("text").fill_null(""))
