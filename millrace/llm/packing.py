@@ -9,11 +9,9 @@ then numbers the pieces of each length in parallel and each piece finds its slot
 from __future__ import annotations
 
 import bisect
-import re
 import zlib
-from array import array
 from collections.abc import Callable, Iterator
-from itertools import filterfalse
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -140,70 +138,101 @@ def plan_packing(counts: dict[int, int], capacity: int) -> list[Pattern]:
     return full + fixed + best_fit(rest, capacity)
 
 
-class WordIds(dict):
-    """Ids (little-endian bytes) by word, remembered in two generations of bounded size.
+def runs(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The runs of ``values`` with these starts and sizes, one after the other."""
+    ends = np.cumsum(sizes)
+    return values[np.repeat(starts - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)]
+
+
+class WordIds:
+    """Ids by word, remembered in one array; what hasn't been used lately goes when there are more than ``most``.
 
     The vocabulary must part letters from signs, put letters in lower case and mark where a word ends. Then a word of
-    Latin letters, after which there may be full stops, commas and exclamation marks, is two tokens' worth of text:
-    its letters are encoded in lower case, many words at once, and cut where a token ends a word.
+    Latin letters, after which there may be signs, is two tokens' worth of text: its letters and its signs are
+    remembered apart. Letters are encoded in lower case, many words at once, and cut where a token ends a word.
     """
 
-    #: A line of letters and signs, or any other.
-    _LINE = re.compile(r"^(?:([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!]*)|(.*))$", re.M)
+    _LETTERS = "[A-Za-zÀ-ÖØ-öø-ÿ]+"
 
-    def __init__(self, path: str, most: int = 400_000) -> None:
+    def __init__(self, path: str, most: int = 600_000) -> None:
         from tokenizers import Tokenizer
 
-        super().__init__()
-        self.most, self.old = most, {}
+        self.most = most
         self.tokenizer = known = Tokenizer.from_file(path)
-        probe = known.encode_batch(["Ab", "ab", " ab  ab\n", "ab!", "!"], add_special_tokens=False)
-        one, low, two, signed, sign = (e.ids for e in probe)
-        if not (one == low and two == low * 2 and signed == low + sign and probe[0].tokens[-1].endswith("</w>")):
+
+        def ids(text: str) -> list[int]:
+            return known.encode(text, add_special_tokens=False).ids
+
+        ends = known.encode("Ab", add_special_tokens=False).tokens[-1].endswith("</w>")
+        if not (ends and ids("Ab") == ids("ab") and ids(" ab  ab\n") == ids("ab") * 2 and ids("ab!") == ids("ab") + ids("!")):
             raise ValueError("a tokenizer is needed that drops white space, lowers letters and marks the ends of words")
+        #: Signs that may follow a word's letters, alone or after one another.
+        self.signs = "".join(c for c in ".,!?;:*#$%&" if ids("ab" + c) == ids("ab") + ids(c))
         vocabulary = known.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-
-    def learn(self, words: list[str]) -> None:
-        if len(self) > self.most:
-            self.old = dict(self)
-            self.clear()
-        old, unknown = self.old, set(filterfalse(self.__contains__, words))
-        if old:
-            self.update({w: old[w] for w in unknown & old.keys()})
-            unknown -= self.keys()
-        new = list(unknown)
-        found = self._LINE.findall("\n".join(new)) if new else []
-        cores = [core.lower() for core, _, _ in found]
-        needed = set(cores) - {""}
-        self.update({c: old[c] for c in (needed - self.keys()) & old.keys()})
-        self._encode_cores(list(needed - self.keys()))
-        self._encode([w for w, core in zip(new, cores, strict=True) if not core])
-        self._encode(list({signs for _, signs, _ in found} - {""} - self.keys()))
-        for w, core, (_, signs, _) in zip(new, cores, found, strict=True):
-            if core:
-                self[w] = self[core] + self[signs] if signs else self[core]
-
-    def _encode(self, words: list[str]) -> None:
-        for i in range(0, len(words), 4096):
-            part = words[i : i + 4096]
-            for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self[w] = array("I", e.ids).tobytes()
-
-    def _encode_cores(self, cores: list[str], at_once: int = 128) -> None:
-        for i in range(0, len(cores), 64 * at_once):
-            parts = [cores[j : j + at_once] for j in range(i, min(i + 64 * at_once, len(cores)), at_once)]
+        #: What is remembered, by its number; its ids, from one bound to the next; whether it was used lately.
+        self.numbers: dict[str, int] = {}
+        self.ids, self.bounds, self.used = np.zeros(0, "<u4"), np.zeros(1, np.int64), np.zeros(0, bool)
+
+    def of(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of different words, word after word, and how many each has."""
+        if len(self.numbers) > self.most:
+            self._forget()
+        core = pc.ascii_rtrim(words, self.signs)
+        plain = pc.match_substring_regex(core, f"^{self._LETTERS}$")
+        signed = pc.and_(plain, pc.less(pc.binary_length(core), pc.binary_length(words)))
+        head = pc.if_else(plain, pc.utf8_lower(core), words).dictionary_encode()
+        tail = pc.replace_substring_regex(words.filter(signed), f"^{self._LETTERS}", "").dictionary_encode()
+        parts = np.zeros((len(words), 2), np.int64)
+        parts[:, 0] = self._numbers(head.dictionary)[head.indices.to_numpy()]
+        parts[:, 1] = self._numbers(pa.array([""]))[0]
+        parts[np.flatnonzero(signed), 1] = self._numbers(tail.dictionary)[tail.indices.to_numpy()]
+        sizes = np.diff(self.bounds)[parts]
+        return runs(self.ids, self.bounds[parts.ravel()], sizes.ravel()), sizes.sum(axis=1)
+
+    def _numbers(self, texts: pa.Array) -> np.ndarray:
+        """The numbers of different texts; those that aren't known are encoded first."""
+        listed = texts.to_pylist()
+        found = np.fromiter(map(self.numbers.get, listed, repeat(-1)), np.int64, len(listed))
+        new = np.flatnonzero(found < 0)
+        if len(new):
+            letters = pc.match_substring_regex(texts.take(pa.array(new)), f"^{self._LETTERS}$").to_numpy(zero_copy_only=False)
+            plain, other = ([listed[i] for i in part.tolist()] for part in (new[letters], new[~letters]))
+            found[np.concatenate([new[letters], new[~letters]])] = np.arange(len(self.numbers), len(self.numbers) + len(new))
+            self.numbers.update(zip(plain + other, range(len(self.numbers), len(self.numbers) + len(new)), strict=True))
+            coded = [*self._encode_lines(plain), *self._encode(other)]
+            self.ids = np.concatenate([self.ids, *(ids for ids, _ in coded)])
+            self.bounds = np.concatenate([self.bounds, self.bounds[-1] + np.cumsum(np.concatenate([sizes for _, sizes in coded]))])
+            self.used = np.concatenate([self.used, np.zeros(len(new), bool)])
+        self.used[found] = True
+        return found
+
+    def _forget(self) -> None:
+        """Drop what hasn't been used since the last time."""
+        stay = np.flatnonzero(self.used)
+        listed, sizes = list(self.numbers), np.diff(self.bounds)[stay]
+        self.ids = runs(self.ids, self.bounds[stay], sizes)
+        self.bounds = np.concatenate([[0], np.cumsum(sizes)])
+        self.numbers = {listed[i]: k for k, i in enumerate(stay.tolist())}
+        self.used = np.zeros(len(stay), bool)
+
+    def _encode(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for i in range(0, len(texts), 4096):
+            found = [e.ids for e in self.tokenizer.encode_batch_fast(texts[i : i + 4096], add_special_tokens=False)]
+            yield np.fromiter(chain.from_iterable(found), "<u4"), np.fromiter(map(len, found), np.int64)
+
+    def _encode_lines(self, words: list[str], at_once: int = 128) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Words of letters, ``at_once`` a line."""
+        for i in range(0, len(words), 64 * at_once):
+            parts = [words[j : j + at_once] for j in range(i, min(i + 64 * at_once, len(words)), at_once)]
             for part, e in zip(parts, self.tokenizer.encode_batch_fast([" ".join(p) for p in parts], add_special_tokens=False), strict=True):
                 ids = np.array(e.ids, "<u4")
-                cuts = (np.flatnonzero(self.ends[ids]) + 1).tolist()
+                cuts = np.flatnonzero(self.ends[ids]) + 1
                 if len(cuts) != len(part) or cuts[-1] != len(ids):
-                    self._encode(part)
-                    continue
-                raw = ids.tobytes()
-                for w, a, b in zip(part, [0, *cuts], cuts, strict=False):
-                    self[w] = raw[4 * a : 4 * b]
-
+                    yield from self._encode(part)
+                else:
+                    yield ids, np.diff(cuts, prepend=0)
 
 
 def pieces_of(path: str, capacity: int, end: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -216,14 +245,11 @@ def pieces_of(path: str, capacity: int, end: int) -> Callable[[Iterator[pa.Recor
             # White space beyond ASCII stays within a word here, which the tokenizer itself then parts.
             split = pc.ascii_split_whitespace(batch.column("text").fill_null(""))
             coded = split.flatten().dictionary_encode()
-            words, which = coded.dictionary.to_pylist(), coded.indices.to_numpy()
-            ids.learn(words)
-            known = [ids[w] for w in words]
-            sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
-            sums = np.concatenate([[0], np.cumsum(sizes[which])])
-            # The ids of word after word: where each word's ids start among those of all, counted on.
-            at = np.repeat((np.cumsum(sizes) - sizes)[which] - sums[:-1], sizes[which]) + np.arange(sums[-1])
-            flat = np.frombuffer(b"".join(known), "<u4")[at]
+            known, n_ids = ids.of(coded.dictionary)
+            which = coded.indices.to_numpy()
+            sizes = n_ids[which]
+            sums = np.concatenate([[0], np.cumsum(sizes)])
+            flat = runs(known, (np.cumsum(n_ids) - n_ids)[which], sizes)
             bounds = sums[split.offsets.to_numpy()]
             rows: list[tuple] = []
             for doc, start, stop in zip(batch.column("doc_id").to_pylist(), bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):

@@ -6,10 +6,11 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.llm import embeddings, fingerprints, langid, lines, ngram_join, packing, pieces, substring_dedup, suffix_dedup, urls, windows
+from millrace.llm import common, embeddings, fingerprints, langid, lines, ngram_join, packing, pieces, substring_dedup, suffix_dedup, urls, windows
 from millrace.llm.components import components
 from millrace.llm.queries import QUERIES, URL_RULES, public_tokenizer
 
@@ -312,6 +313,53 @@ def test_packing(docs, rows, spark):
     assert packing.pack_documents(same, path, 7).select("sequence_id").distinct().count() <= 167 + 84
 
 
+class Counting:
+    """A tokenizer that counts the characters it encodes."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.seen = tokenizer, 0
+
+    def __getattr__(self, name):
+        return getattr(self.tokenizer, name)
+
+    def encode_batch_fast(self, texts, **how):
+        self.seen += sum(map(len, texts))
+        return self.tokenizer.encode_batch_fast(texts, **how)
+
+
+def test_packing_encodes_letters_once(monkeypatch):
+    import tokenizers
+
+    path = public_tokenizer("word_bpe_49k.json")
+    made = tokenizers.Tokenizer.from_file(path)
+    counting = Counting(made)
+    monkeypatch.setattr(common, "_kept", {})
+    monkeypatch.setattr(tokenizers, "Tokenizer", type("T", (), {"from_file": staticmethod(lambda _: counting)}))
+    words = [a + b + c for a in ("über", "wort", "straß") for b in ("haus", "ähn", "ing") for c in ("lich", "keit", "ß", "ñor")]
+    signs = ["", ".", "***", "$$$", "###", "%%%", "&&&", ",%%%", "?!", ";:"]
+    text = " ".join(w + s for w in [*words, *map(str.title, words)] for s in signs)
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2], pa.int64()), pa.array([text, None])], ["doc_id", "text"])
+    (got,) = packing.pieces_of(path, 1 << 20, 0)(iter([batch]))
+    ids = np.array(made.encode(text, add_special_tokens=False).ids + [0], "<u4")
+    assert got.column("length").to_pylist() == [len(ids), 1]
+    assert got.column("ids_crc32")[0].as_py() == zlib.crc32(ids.tobytes())
+    assert counting.seen < 2 * sum(map(len, words))
+
+
+def test_packing_forgets_what_is_not_used():
+    from tokenizers import Tokenizer
+
+    path = public_tokenizer("word_bpe_49k.json")
+    encode, ids = Tokenizer.from_file(path).encode, packing.WordIds(path, 20)
+    assert [x.tolist() for x in ids.of(pa.array([], pa.string()))] == [[], []]
+    for k in range(12):
+        words = ["often", "Often,", "3.14", "", "!!!", "a_b", "it's", *(f"{chr(97 + k)}x{chr(97 + i)}{'.!' * (i % 2)}" for i in range(14))]
+        want = [encode(w, add_special_tokens=False).ids for w in words]
+        flat, sizes = ids.of(pa.array(words))
+        assert flat.tolist() == sum(want, []) and sizes.tolist() == list(map(len, want))
+        assert len(ids.numbers) <= 20 + 22 and len(ids.numbers) == len(ids.used) == len(ids.bounds) - 1
+
+
 def test_packing_keeps_separators(spark):
     from tokenizers import Tokenizer
 
